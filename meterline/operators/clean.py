@@ -19,6 +19,9 @@ def derive(df: DataFrame) -> DataFrame:
     )
 
 
+RULES = ("card", "duration", "distance", "fare", "tip", "speed", "target")
+
+
 def rules() -> dict[str, Column]:
     """Name -> predicate a good row meets, in the order rows are charged to them.
 

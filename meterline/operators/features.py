@@ -52,10 +52,16 @@ def clean_and_featurize(df: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 
 
 def filled_codes(df: DataFrame) -> DataFrame:
-    """Gives missing category codes their own last code, for learners that reject null."""
-    return df.withColumns(
-        {c: F.coalesce(F.col(c), F.lit(len(S.VOCABULARY[c]))) for c in S.CATEGORICAL_FEATURES}
-    )
+    """Gives missing category codes their own last code, for learners that reject null.
+
+    The number of codes goes into the column's ML attribute, so that learners and encoders
+    take it from there and not from the values they happen to see.
+    """
+    for c in S.CATEGORICAL_FEATURES:
+        n = len(S.VOCABULARY[c])
+        attr = {"ml_attr": {"name": c, "type": "nominal", "num_vals": n + 1}}
+        df = df.withColumn(c, F.coalesce(F.col(c), F.lit(n))).withMetadata(c, attr)
+    return df
 
 
 def assemble(df: DataFrame, label: str = S.TARGET) -> DataFrame:
