@@ -85,3 +85,14 @@ def category_code(name: str) -> Column:
         for i, item in enumerate(vocab[1:], start=1):
             code = code.when(v == item, i)
     return code.cast("int")
+
+
+def pinned(c: Column) -> Column:
+    """The same value, marked so that Catalyst keeps the projection it stands in as one step.
+
+    Zero times the partition id is non-deterministic in Catalyst's eyes: filters are not
+    pushed below such a projection, nor is its text copied into the expressions above it.
+    Worth it only where that copying makes generated methods outgrow the JVM's compiler
+    (8,000 bytes), never directly above a scan whose filters should reach the files.
+    """
+    return c + F.spark_partition_id() * 0

@@ -26,9 +26,10 @@ def compact(v: Column, bits: int = VALUE_BITS) -> Column:
 
 def value_counts(df: DataFrame, features: list[str], bits: int = VALUE_BITS) -> DataFrame:
     """Rows per (feature position, compact value). Partial counts form before the shuffle."""
-    values = F.array(*[compact(F.col(c).cast("double"), bits) for c in features])
+    values = F.array(*[F.col(c).cast("double") for c in features])
     return (
-        df.select(F.posexplode(values).alias("pos", "value"))
+        df.select(F.posexplode(values).alias("pos", "exact"))
+        .select("pos", compact(F.col("exact"), bits).alias("value"))
         .filter(F.col("value").isNotNull())
         .groupBy("pos", "value")
         .agg(F.count("*").alias("n"))

@@ -7,6 +7,7 @@ IEEE doubles repeats exactly.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,10 +28,10 @@ from ..operators.splits import best_splits, scan_splits
 from ..search import propose as tpe
 from ..search import rungs, runner
 from ..search.space import SPACE, draw_configs
-from ..session import scratch_path
+from ..session import scratch_path, spread, tune
 from ..sources.months import conform
 from ..sources.synthetic import trips_for_ids
-from ..sources.trips import SPARK_TRIPS, TRIP_KEY, line_trips
+from ..sources.trips import TRIP_KEY, line_trips, trips_of
 from ..streaming.pipeline import run_available
 
 YEARS = {"train": [1995, 1996, 1997, 1998, 1999], "valid": [2000], "test": [2001]}
@@ -66,7 +67,9 @@ def cleaned_split(spark: SparkSession, d: str) -> DataFrame:
 
 
 def features_of(spark: SparkSession, d: str) -> dict[str, DataFrame]:
-    f = clean_and_featurize(split_trips(spark, d), keep=("split",))
+    lines = spread(table(spark, d, "lineitem"))
+    trips = sp.split_by_year(trips_of(spark, lines), YEARS)
+    f = clean_and_featurize(trips, keep=("split",))
     return {n: f.filter(F.col("split") == n).drop("split") for n in YEARS}
 
 
@@ -176,8 +179,7 @@ def stream_feature_matrix(spark, d):
     """The same matrix through a file stream over the lines, drained once."""
     schema = table(spark, d, "lineitem").schema
     lines = spark.readStream.schema(schema).option("pathGlobFilter", "lineitem.parquet").parquet(d)
-    trips = spark.sql(SPARK_TRIPS.replace("from lineitem", "from {lineitem}"), lineitem=lines)
-    features = featurize(cl.clean(trips), keep=TRIP_KEY)
+    features = featurize(cl.clean(trips_of(spark, lines)), keep=TRIP_KEY)
     root = scratch_path(spark, "stream")
     run_available(features, f"{root}/out", f"{root}/checkpoint")
     return rounded(spark.read.parquet(f"{root}/out"), *S.NUMERIC_FEATURES, S.TARGET)
@@ -571,4 +573,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     }
     for rule in cl.RULES:
         out[f"filter_{rule}"] = _filter_query(rule)
-    return out
+    return {name: _tuned(q) for name, q in out.items()}
+
+
+def _tuned(query):
+    @wraps(query)
+    def run(spark: SparkSession, d: str) -> DataFrame:
+        return query(tune(spark), d)
+
+    return run

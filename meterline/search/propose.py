@@ -25,11 +25,12 @@ KERNEL_WIDTH = 0.1
 
 
 def unit_history(history: DataFrame) -> DataFrame:
-    """(study, trial_id, rmse, param, u): one row per trial and parameter."""
+    """One row per trial and parameter: its other columns, ``param`` and ``u``."""
     pairs = F.array(
         *[F.struct(F.lit(p.name).alias("param"), p.unit(F.col(p.name)).cast("double").alias("u")) for p in SPACE]
     )
-    return history.select("study", "trial_id", "rmse", F.inline(pairs))
+    names = {p.name for p in SPACE}
+    return history.select(*[c for c in history.columns if c not in names], F.inline(pairs))
 
 
 def mark_good(history: DataFrame) -> DataFrame:

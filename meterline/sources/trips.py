@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..functions.columns import pinned
 
 # Integer arithmetic only, so that engines agree. {add} is the one dialect difference.
 TRIPS_SQL = """
@@ -46,7 +49,11 @@ TRIP_KEY = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 
 def line_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The trip table over ``{sf_dir}/lineitem.parquet``."""
-    return spark.sql(
-        SPARK_TRIPS.replace("from lineitem", "from {lineitem}"),
-        lineitem=spark.read.parquet(f"{sf_dir}/lineitem.parquet"),
-    )
+    return trips_of(spark, spark.read.parquet(f"{sf_dir}/lineitem.parquet"))
+
+
+def trips_of(spark: SparkSession, lines: DataFrame) -> DataFrame:
+    """Trips of a table or stream of order lines. The made-up fare is long: it is pinned."""
+    sql = SPARK_TRIPS.replace("from lineitem", "from {lineitem}")
+    trips = spark.sql(sql, lineitem=lines)
+    return trips.withColumn("fare_amount", pinned(F.col("fare_amount")))
