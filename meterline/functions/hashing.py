@@ -8,13 +8,14 @@ from pyspark.sql import functions as F
 MD5_SPAN = 1 << 60
 
 
-def md5_int(*key: Column, seed: int = 0) -> Column:
+def md5_int(*key: Column | str, seed: int = 0) -> Column:
     """60-bit integer from the md5 of the key columns joined by '|'."""
-    text = F.concat_ws("|", *[k.cast("string") for k in key], F.lit(str(seed)))
+    cols = [F.col(k) if isinstance(k, str) else k for k in key]
+    text = F.concat_ws("|", *[c.cast("string") for c in cols], F.lit(str(seed)))
     return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("bigint")
 
 
-def md5_uniform(*key: Column, seed: int = 0) -> Column:
+def md5_uniform(*key: Column | str, seed: int = 0) -> Column:
     """[0, 1) draw, reproducible in any engine that has md5."""
     return md5_int(*key, seed=seed) / F.lit(float(MD5_SPAN))
 

@@ -12,13 +12,13 @@ _STEP_BITS = 16
 _HASH_BITS = 60
 
 
-def bernoulli(df: DataFrame, fraction: float, key: list[Column], seed: int = 42) -> DataFrame:
+def bernoulli(df: DataFrame, fraction: float, key: list[Column | str], seed: int = 42) -> DataFrame:
     """Keeps each row with probability ``fraction``; a filter, no shuffle."""
     return df.filter(md5_uniform(*key, seed=seed) < F.lit(float(fraction)))
 
 
 def cap(
-    df: DataFrame, max_rows: int | None, key: list[Column], seed: int = 42, total: int | None = None
+    df: DataFrame, max_rows: int | None, key: list[Column | str], seed: int = 42, total: int | None = None
 ) -> DataFrame:
     """About ``max_rows`` rows when there are more; None or 0 means no cap.
 
@@ -30,7 +30,7 @@ def cap(
     return df if total <= max_rows else bernoulli(df, max_rows / total, key, seed)
 
 
-def exact_sample(df: DataFrame, n: int, key: list[Column], seed: int = 42) -> DataFrame:
+def exact_sample(df: DataFrame, n: int, key: list[Column | str], seed: int = 42) -> DataFrame:
     """Exactly ``n`` rows without replacement (all rows if there are fewer).
 
     These are the rows of the n smallest key hashes. A global sort-and-limit would send n

@@ -18,7 +18,7 @@ def split_by_year(df: DataFrame, years: dict[str, list[int]]) -> DataFrame:
 
 
 def split_at_random(
-    df: DataFrame, shares: dict[str, float], key: list[Column], seed: int = 0
+    df: DataFrame, shares: dict[str, float], key: list[Column | str], seed: int = 0
 ) -> DataFrame:
     """Adds ``split`` by hashed draw in the given shares (they sum to 1)."""
     u, acc, split = md5_uniform(*key, seed=seed), 0.0, None

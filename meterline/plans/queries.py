@@ -28,7 +28,7 @@ from ..operators.splits import best_splits, scan_splits
 from ..search import propose as tpe
 from ..search import rungs, runner
 from ..search.space import SPACE, draw_configs
-from ..session import scratch_path, spread, tune
+from ..session import drop_path, scratch_path, spread, tune
 from ..sources.months import conform
 from ..sources.synthetic import trips_for_ids
 from ..sources.trips import TRIP_KEY, line_trips, trips_of
@@ -344,9 +344,10 @@ def boost_stumps(spark, d):
     """Three depth-1 rounds of the training loop, as the split chosen in each round."""
     f = features_of(spark, d)
     binner = Binner.fit(f["train"], STUMP_FEATURES, [], max_bins=STUMP_BINS)
-    binned, _ = write_binned(spark, binner, f["train"], f["valid"])
+    binned, path = write_binned(spark, binner, f["train"], f["valid"])
     config = BoostConfig(max_depth=1, learning_rate=0.5)
     e = boost(binned, binner, {0: config}, max_rounds=STUMP_ROUNDS)[0]
+    drop_path(spark, path)
     rows = []
     for r, t in enumerate(e.trees):
         cut = min(b for b in range(1, binner.stride) if t.right[0] >> b & 1)
