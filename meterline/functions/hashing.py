@@ -25,6 +25,11 @@ def fast_uniform(*key: Column) -> Column:
     return F.xxhash64(*key).bitwiseAND(F.lit((1 << 53) - 1)) / F.lit(float(1 << 53))
 
 
+def fast_uniform_sql(key: str) -> str:
+    """The same draw as SQL text over a list of columns."""
+    return f"((xxhash64({key}) & {(1 << 53) - 1}) / {float(1 << 53)!r}e0)"
+
+
 def gaussian(u1: Column, u2: Column) -> Column:
     """Standard normal draw from two uniforms (Box-Muller)."""
     return F.sqrt(F.lit(-2.0) * F.log1p(-u1)) * F.cos(F.lit(2.0) * F.pi() * u2)

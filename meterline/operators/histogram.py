@@ -11,27 +11,24 @@ def gradient(pred: Column, y: Column) -> Column:
     return pred - y
 
 
-def histogram(rows: DataFrame, span: int, keep_code: Column | None = None) -> DataFrame:
+def histogram(rows: DataFrame, span: int, keep_code: str | None = None) -> DataFrame:
     """(slot, code, g, h) from rows (slot, g, codes); ``span`` exceeds every code.
 
     Slot and code are packed into one long before grouping. Spark's aggregate keeps a single
     long key in its fast map, which measured more than twice as fast as grouping by two
     columns. Partial sums form in the scan stage, so at most (slots x codes) cells per task
-    are shuffled, whatever the number of rows or the share of the largest bin.
+    are shuffled, whatever the number of rows or the share of the largest bin. ``keep_code``
+    is a SQL condition on code and the rows' other columns.
     """
-    cells = rows.withColumn("code", F.explode("codes"))
+    kept = [c for c in rows.columns if c != "codes"]
+    cells = rows.selectExpr(*kept, "explode(codes) as code")
     if keep_code is not None:
         cells = cells.filter(keep_code)
     return (
-        cells.select((F.col("slot") * F.lit(span) + F.col("code")).alias("cell"), "g")
+        cells.selectExpr(f"slot * {span} + code as cell", "g")
         .groupBy("cell")
-        .agg(F.sum("g").alias("g"), F.count("*").cast("double").alias("h"))
-        .select(
-            F.expr(f"cell div {span}").alias("slot"),
-            (F.col("cell") % span).cast("int").alias("code"),
-            "g",
-            "h",
-        )
+        .agg(F.expr("sum(g) as g"), F.expr("double(count(*)) as h"))
+        .selectExpr(f"cell div {span} as slot", f"int(cell % {span}) as code", "g", "h")
     )
 
 
@@ -39,24 +36,18 @@ def with_siblings(built: DataFrame, parents: DataFrame) -> DataFrame:
     """Cells of both children of every split node, given one child and the parent.
 
     The other child is parent minus child, so only the smaller half of the rows is ever
-    scanned below the root. ``built`` has (slot, sibling, code, g, h); ``parents`` has the
-    parents' cells under the sibling's slot. One shuffle by slot serves this sum and the
-    whole split search after it.
+    scanned below the root. ``built`` has (slot, code, g, h); siblings have adjacent slots,
+    the lower one odd. ``parents`` has the parents' cells under the missing sibling's slot.
+    One shuffle by slot serves this sum and the whole split search after it.
     """
-    both = built.select(
-        F.inline(
-            F.array(
-                F.struct("slot", "code", "g", "h"),
-                F.struct(
-                    F.col("sibling").alias("slot"), "code", (-F.col("g")).alias("g"), (-F.col("h")).alias("h")
-                ),
-            )
-        )
+    both = built.selectExpr(
+        "inline(array(struct(slot, code, g, h), "
+        "struct(slot + if(slot % 2 = 1, 1, -1) as slot, code, -g as g, -h as h)))"
     )
     return (
-        both.unionByName(parents.select("slot", "code", "g", "h"))
+        both.union(parents.selectExpr("slot", "code", "g", "h"))
         .repartition("slot")
         .groupBy("slot", "code")
-        .agg(F.sum("g").alias("g"), F.sum("h").alias("h"))
-        .filter(F.col("h") > 0)
+        .agg(F.expr("sum(g) as g"), F.expr("sum(h) as h"))
+        .filter("h > 0")
     )

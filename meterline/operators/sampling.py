@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import MD5_SPAN, md5_int, md5_uniform
 
-# A refinement step of exact_sample looks at 16 of the hash's 60 bits.
-_STEP_BITS = 16
+# A refinement step of exact_sample looks at 12 of the hash's 60 bits.
+_STEP_BITS = 12
 _HASH_BITS = 60
 
 
@@ -46,20 +46,16 @@ def exact_sample(df: DataFrame, n: int, key: list[Column | str], seed: int = 42)
         inside = hashed.select("_h").filter(
             (F.col("_h") >= low) & (F.col("_h") < low + (MD5_SPAN >> bits))
         )
-        counts = (
-            inside.groupBy(F.shiftright("_h", shift).alias("prefix"))
-            .agg(F.count("*").alias("n"))
-            .orderBy("prefix")
-            .collect()
+        counts = inside.groupBy(F.shiftright("_h", shift).alias("prefix")).agg(F.count("*").alias("n"))
+        so_far = F.sum("n").over(Window.orderBy("prefix"))  # at most 2**12 prefixes
+        edge = (
+            counts.withColumn("cum", so_far)
+            .filter((F.col("cum") >= need) & (F.col("cum") - F.col("n") < need))
+            .first()
         )
-        edge = None
-        for row in counts:  # at most 2**16 prefixes
-            if row["n"] >= need:
-                edge = row
-                break
-            need -= row["n"]
         if edge is None:
             return df
+        need -= edge["cum"] - edge["n"]
         low, bits = edge["prefix"] << shift, bits + _STEP_BITS
         if edge["n"] <= 10_000:
             break

@@ -1,12 +1,14 @@
 """Best split per tree node from its histogram cells.
 
-Written as SQL text: the training loop runs it once per tree level, and one parse and
-analysis of a statement is several times cheaper than a chain of DataFrame calls.
+The training loop builds this plan once per tree level, hence few steps of SQL text: every
+DataFrame call is analysed anew. It is no single ``spark.sql`` statement over the cells,
+because the view that stands in for a frame there uncaches the frame when it is dropped.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 MIN_GAIN = 1e-6  # fixed value: a split must gain more than this
 MAX_CAT_THRESHOLD = 64  # fixed value: largest category set on the smaller side
@@ -26,56 +28,11 @@ def _gain(gl: str, hl: str) -> str:
     return f"coalesce(case when {ok} then {total} end, -1e0)"
 
 
-SCAN_SQL = f"""
-with ranked as (
-  select *, bin > 0 as present, is_cat and not onehot as by_mean,
-    case when is_cat and not onehot then try_divide(g, h + reg_lambda) else bin end as rank_key
-  from {{cells}}
-), summed as (
-  select *,
-    sum(g) over whole as gt, sum(h) over whole as ht,
-    sum(case when present then 0e0 else g end) over whole as gm,
-    sum(case when present then 0e0 else h end) over whole as hm,
-    sum(case when present then g else 0e0 end) over prefix as gp,
-    sum(case when present then h else 0e0 end) over prefix as hp,
-    sum(cast(present as int)) over prefix as pos,
-    sum(cast(present as int)) over whole as n_present
-  from ranked
-  window whole as (partition by slot, feature),
-    prefix as (partition by slot, feature order by present, rank_key, bin
-               rows between unbounded preceding and current row)
-), sides as (
-  select *,
-    case when onehot then gt - gm - g else gp end as gl,
-    case when onehot then ht - hm - h else hp end as hl,
-    present and (not by_mean or least(pos, n_present - pos) <= {MAX_CAT_THRESHOLD}) as fits
-  from summed
-), gains as (
-  select *, {_gain("gl", "hl")} as gain_right, {_gain("(gl + gm)", "(hl + hm)")} as gain_left
-  from sides
+_WHOLE = "(partition by slot, feature)"
+_PREFIX = (
+    "(partition by slot, feature order by present, rank_key, bin "
+    "rows between unbounded preceding and current row)"
 )
-select slot, feature, bin, g, h, rank_key, by_mean, pos, gl, hl, gt, ht, gm, hm, gain_right, gain_left,
-  gain_right >= gain_left as missing_right, greatest(gain_right, gain_left) as gain
-from gains
-"""
-
-BEST_SQL = """
-with per_feature as (
-  select slot, feature,
-    max(struct(gain, -bin as neg_bin, missing_right, by_mean, pos,
-      gl + case when missing_right then 0e0 else gm end as g_left,
-      hl + case when missing_right then 0e0 else hm end as h_left, gt, ht)) as best,
-    sort_array(collect_list(case when by_mean and bin > 0 then struct(pos, bin) end)) as order
-  from ({scan})
-  group by slot, feature
-), winners as (
-  select slot, max_by(struct(feature, best, order), struct(best.gain, -feature)) as w
-  from per_feature group by slot
-)
-select slot, w.feature, w.best.gain, -w.best.neg_bin as bin, w.best.missing_right, w.best.by_mean,
-  w.best.pos, w.best.g_left, w.best.h_left, w.best.gt as g, w.best.ht as h, w.order
-from winners
-"""
 
 
 def scan_splits(cells: DataFrame) -> DataFrame:
@@ -86,7 +43,35 @@ def scan_splits(cells: DataFrame) -> DataFrame:
     in their own order, categories in the order of their mean gradient, and categoricals
     with ``onehot`` one against the rest. Bin 0 holds the missing rows.
     """
-    return cells.sparkSession.sql(SCAN_SQL, cells=cells)
+    ranked = cells.selectExpr(
+        "*",
+        "bin > 0 as present",
+        "is_cat and not onehot as by_mean",
+        "case when is_cat and not onehot then try_divide(g, h + reg_lambda) else bin end as rank_key",
+    )
+    summed = ranked.selectExpr(
+        "*",
+        f"sum(g) over {_WHOLE} as gt",
+        f"sum(h) over {_WHOLE} as ht",
+        f"sum(case when present then 0e0 else g end) over {_WHOLE} as gm",
+        f"sum(case when present then 0e0 else h end) over {_WHOLE} as hm",
+        f"sum(cast(present as int)) over {_WHOLE} as n_present",
+        f"sum(case when present then g else 0e0 end) over {_PREFIX} as gp",
+        f"sum(case when present then h else 0e0 end) over {_PREFIX} as hp",
+        f"sum(cast(present as int)) over {_PREFIX} as pos",
+    )
+    sides = summed.selectExpr(
+        "*",
+        "case when onehot then gt - gm - g else gp end as gl",
+        "case when onehot then ht - hm - h else hp end as hl",
+        f"present and (not by_mean or least(pos, n_present - pos) <= {MAX_CAT_THRESHOLD}) as fits",
+    )
+    gains = sides.selectExpr(
+        "*", f"{_gain('gl', 'hl')} as gain_right", f"{_gain('(gl + gm)', '(hl + hm)')} as gain_left"
+    )
+    return gains.selectExpr(
+        "*", "gain_right >= gain_left as missing_right", "greatest(gain_right, gain_left) as gain"
+    )
 
 
 def best_splits(cells: DataFrame) -> DataFrame:
@@ -95,4 +80,15 @@ def best_splits(cells: DataFrame) -> DataFrame:
     ``order`` lists (pos, bin) of the winning categorical, so that its left set is every
     bin up to the winning position. A slot without a valid candidate has gain -1.
     """
-    return cells.sparkSession.sql(BEST_SQL.replace("{scan}", SCAN_SQL), cells=cells)
+    best = F.expr(
+        """max(struct(gain, -bin as neg_bin, missing_right, by_mean, pos,
+             gl + case when missing_right then 0e0 else gm end as g_left,
+             hl + case when missing_right then 0e0 else hm end as h_left, gt, ht))"""
+    ).alias("best")
+    order = F.expr("sort_array(collect_list(case when by_mean and present then struct(pos, bin) end))")
+    winner = F.expr("max_by(struct(feature, best, order), struct(best.gain, -feature))").alias("w")
+    per_feature = scan_splits(cells).groupBy("slot", "feature").agg(best, order.alias("order"))
+    return per_feature.groupBy("slot").agg(winner).selectExpr(
+        "slot", "w.feature", "w.best.gain", "-w.best.neg_bin as bin", "w.best.missing_right", "w.best.by_mean",
+        "w.best.pos", "w.best.g_left", "w.best.h_left", "w.best.gt as g", "w.best.ht as h", "w.order",
+    )
