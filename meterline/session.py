@@ -43,7 +43,8 @@ def spread(df: DataFrame) -> DataFrame:
     """Evens a table out over the cores if it has fewer partitions than there are cores.
 
     For small inputs that heavy per-row work or many passes follow; a table that is large
-    for its cluster passes through unchanged.
+    for its cluster passes through unchanged. Meant for plain scans: counting the partitions
+    of a plan with shuffles would run them.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
