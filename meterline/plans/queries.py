@@ -206,7 +206,8 @@ def capped_sample(spark, d):
 
 
 def exact_sample(spark, d):
-    return sampling.exact_sample(line_trips(spark, d), 1000, key()).select(*TRIP_KEY)
+    trips = trips_of(spark, spread(table(spark, d, "lineitem")))  # hashed more than once
+    return sampling.exact_sample(trips, 1000, key()).select(*TRIP_KEY)
 
 
 def round_subsample(spark, d):
