@@ -2,11 +2,13 @@
 
 Exact for any data: two documents link when ``100 * intersection >= percent * union``.
 
-1. One scan hashes each document's set of shingles. Documents of equal sets form a class; only
-   classes go on, so copies cost one row each.
-2. *Hubs.* Classes that share a minimum of a hashed set are compared with the smallest class of
-   that minimum, once each. Those found similar join that hub's group, at a known distance. Large
-   groups of near copies become stars here: linear, never all pairs.
+1. A scan hashes each document's set of shingles. Documents of equal sets form a class; only
+   classes go on, so copies cost one row each. Later scans hash the texts again instead of writing
+   all sets out, which would take twice the size of the input.
+2. *Hubs.* Classes that share minima of their hashed sets are compared with one class of those
+   minima, the one with the fewest rare shingles (of edited copies, the one edited least). Those
+   found similar join that hub's group, at a known distance. Large groups of near copies become
+   stars here: linear, never all pairs.
 3. *Prefix join between groups.* Shingles are ordered rare first, by a sketch of document
    frequencies of fixed size (any total order gives the same result). Similar sets share a shingle
    among their first ``n - ceil(t n) + 1``. Prefix shingles are joined on their hash; a token's rows
@@ -45,29 +47,32 @@ MINIMA = 6
 #: Counters of the sketch of document frequencies (its broadcast takes four bytes each).
 SKETCH_BITS = 20
 #: Shingles gathered by a task before their repeats are counted.
-SKETCH_BLOCK = 1 << 21
+SKETCH_BLOCK = 1 << 20
 #: Bits of the filter that says whose sets a scan returns (2 MB).
 WANTED_BITS = 24
 #: Hash ranges of the suffix filter.
-RANGES = 16
+RANGES = 64
 
-_SEEDS = mix(np.arange(1, MINIMA + 3, dtype=np.uint64) * np.uint64(0x632BE59BD9B4E019))
+_SEEDS = mix(np.arange(1, MINIMA + 3, dtype=np.uint64) * np.uint64(0x632BE59BD9B4E019)) | np.uint64(1)
 EMPTY_CLASS = 0
 
 
 def shingle_set(text: str | None, width: int = WIDTH) -> np.ndarray:
     """Sorted distinct shingle hashes of a text."""
-    return np.unique(shingles(word_hashes(text), width))
+    every = np.sort(shingles(word_hashes(text), width))
+    if len(every) < 2:
+        return every
+    new = np.ones(len(every), dtype=bool)
+    np.not_equal(every[1:], every[:-1], out=new[1:])
+    return every if new.all() else every[new]
 
 
 def class_id(own: np.ndarray) -> int:
     """Names a set by a 64-bit hash of its members; 0 is the empty set."""
     if not len(own):
         return EMPTY_CLASS
-    with np.errstate(over="ignore"):
-        total = mix(own ^ _SEEDS[0]).sum(dtype=np.uint64) + np.uint64(len(own))
-        twice = mix(own ^ _SEEDS[1]).sum(dtype=np.uint64)
-        h = mix(np.array([total ^ (twice << np.uint64(1))], dtype=np.uint64))
+    total = mix(own ^ _SEEDS[0]).sum(dtype=np.uint64)
+    h = mix(np.array([total ^ np.uint64(len(own))], dtype=np.uint64))
     return int(h.view(np.int64)[0]) or 1
 
 
@@ -91,21 +96,16 @@ def _scan_step(width: int, sketch_bits: int, block: int):
         cell = (every[first[often]] >> np.uint64(64 - sketch_bits)).astype(np.int64)
         cells, at = np.unique(cell, return_inverse=True)
         for c, k in zip(cells.tolist(), np.bincount(at, count[often]).astype(np.int64).tolist(), strict=True):
-            yield 1, c, None, k, None, None
+            yield 1, c, None, k
 
     def step(rows: Iterator[tuple]) -> Iterator[tuple]:
         held, size = [], 0
         for doc_id, text in rows:
             own = shingle_set(text, width)
-            n = len(own)
-            if not n:
-                yield 0, doc_id, EMPTY_CLASS, 0, None, None
-                continue
-            least = np.array([mix(own ^ s).min() for s in _SEEDS[2:]], dtype=np.uint64)
-            counts = np.bincount((own >> np.uint64(60)).astype(np.int64), minlength=RANGES)
-            yield 0, doc_id, class_id(own), n, _signed(least), counts.tolist()
-            held.append(own)
-            size += n
+            yield 0, doc_id, class_id(own), len(own)
+            if len(own):
+                held.append(own)
+                size += len(own)
             if size >= block:
                 yield from repeats(held)
                 held, size = [], 0
@@ -130,23 +130,30 @@ def _sets_step(width: int, wanted):
     return step
 
 
-def _prefix_step(width: int, percent: int, sketch):
-    """Rows of the prefix scan: class, set size, prefix shingles rare first."""
+def _class_step(width: int, percent: int, sketch):
+    """Rows of the second scan: a class's size, prefix shingles rare first, minima, counts by range
+    and number of shingles that the sketch has not seen twice."""
 
     def step(rows: Iterator[tuple]) -> Iterator[tuple]:
         weight = sketch.value
         shift = np.uint64(64 - (len(weight).bit_length() - 1))
         for (text,) in rows:
             own = shingle_set(text, width)
-            if len(own):
-                # own is sorted by hash, so a stable sort by weight breaks ties by hash.
-                order = np.argsort(weight[(own >> shift).astype(np.int64)], kind="stable")
-                yield class_id(own), len(own), own[order[: prefix_length(len(own), percent)]].tobytes()
+            n = len(own)
+            if not n:
+                continue
+            heavy = weight[(own >> shift).astype(np.int64)]
+            # own is sorted by hash, so a stable sort by weight breaks ties by hash.
+            order = np.argsort(heavy, kind="stable")
+            prefix = own[order[: prefix_length(n, percent)]].tobytes()
+            least = np.array([(own * s).min() for s in _SEEDS[2:]], dtype=np.uint64)
+            counts = np.bincount((own >> np.uint64(58)).astype(np.int64), minlength=RANGES)
+            yield class_id(own), n, prefix, _signed(least), counts.tolist(), n - int(np.count_nonzero(heavy))
 
     return step
 
 
-def _combine_step(block: int = 1 << 20):
+def _combine_step(block: int = 1 << 18):
     """Explodes prefixes and combines the rows of one token and hub that a task holds.
 
     ``rest`` is the largest number of shingles from the token's place on, which bounds what two
@@ -219,21 +226,19 @@ class JaccardJoin:
         return 100 * shared >= self.percent * (a + b - shared)
 
     def _scan(self) -> None:
-        step = _scan_step(self.width, SKETCH_BITS, SKETCH_BLOCK)
-        schema = "kind int, id long, cls long, n long, least array<long>, counts array<int>"
-        both = self._save(map_rows(self.docs, step, schema), "scan")
+        schema = "kind int, id long, cls long, n long"
+        both = self._save(map_rows(self.docs, _scan_step(self.width, SKETCH_BITS, SKETCH_BLOCK), schema), "scan")
         self.members = both.filter("kind = 0").select(F.col("id").alias("doc_id"), "cls", "n")
-        # Rows of a class are alike but for the id.
-        self.classes = self._save(
-            both.filter("kind = 0 and n > 0")
-            .groupBy("cls", "n", "least", "counts")
-            .agg(F.min("id").alias("first_id")),
-            "classes",
-        )
         cells = both.filter("kind = 1").groupBy("id").agg(F.sum("n").alias("n")).toArrow()
         sketch = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
         sketch[cells["id"].to_numpy()] = cells["n"].to_numpy()
         self.sketch = self.spark.sparkContext.broadcast(np.minimum(sketch, 1 << 30).astype(np.int32))
+        step = _class_step(self.width, self.percent, self.sketch)
+        schema = "cls long, n long, prefix binary, least array<long>, counts array<int>, rare long"
+        rows = map_rows(self.docs.select("text"), step, schema)
+        # Rows of a class are alike.
+        first = [F.first(c).alias(c) for c in ("n", "prefix", "least", "counts", "rare")]
+        self.classes = self._save(rows.groupBy("cls").agg(*first), "classes")
 
     def _sets(self, names: DataFrame) -> DataFrame:
         """Set of each class named in ``cls``; a filter of fixed size spares the others' rows."""
@@ -265,28 +270,26 @@ class JaccardJoin:
 
     def _hubs(self) -> DataFrame:
         """Star links (a: hub, b: class, d)."""
-        least = self.classes.select("cls", "n", F.posexplode("least").alias("k", "value"))
-        # The smallest set id of a minimum is its hub; the most shared one is a class's candidate.
-        hub = least.groupBy("k", "value").agg(F.min("cls").alias("hub"), F.count("*").alias("size"))
+        least = self.classes.select("cls", "rare", F.posexplode("least").alias("k", "value"))
+        # The hub of a minimum is its class of the fewest rare shingles: of copies with edits, that
+        # with the fewest. The one that most minima name is a class's candidate.
+        hub = least.groupBy("k", "value").agg(F.min(F.struct("rare", "cls")).alias("hub"), F.count("*").alias("size"))
         tried = (
-            least.join(hub.filter("size > 1"), ["k", "value"])
-            .filter("cls <> hub")
+            least.select("cls", "k", "value")
+            .join(hub.filter("size > 1").select("k", "value", "hub"), ["k", "value"])
             .groupBy("cls", "hub")
             .agg(F.count("*").alias("votes"))
             .groupBy("cls")
-            .agg(F.max(F.struct("votes", "hub")).alias("best"))
+            .agg(F.min(F.struct((-F.col("votes")).alias("votes"), "hub")).alias("best"))
+            .select(F.col("best.hub.cls").alias("a"), F.col("cls").alias("b"))
+            .filter("a <> b")
         )
-        pairs = self._save(tried.select(F.col("best.hub").alias("a"), F.col("cls").alias("b")), "tried")
+        pairs = self._save(tried, "tried")
         return self._verify(pairs, "stars").filter("linked").select("a", "b", "d")
 
     def _between(self, stars: DataFrame) -> DataFrame:
         """Candidate pairs of hubs, each once."""
-        prefix = map_rows(
-            self.docs.select("text"),
-            _prefix_step(self.width, self.percent, self.sketch),
-            "cls long, n long, prefix binary",
-        )
-        prefix = prefix.groupBy("cls").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"))
+        prefix = self.classes.select("cls", "n", "prefix")
         grouped = prefix.join(stars.select(F.col("b").alias("cls"), F.col("a").alias("hub")), "cls", "left")
         rows = map_rows(
             grouped.select(F.coalesce("hub", "cls").alias("hub"), "n", "prefix"),
@@ -313,58 +316,66 @@ class JaccardJoin:
         pairs = a.join(b, F.expr("x.token = y.token and x.hub < y.hub") & length & place)
         return pairs.select(F.col("x.hub").alias("a"), F.col("y.hub").alias("b")).distinct()
 
+    def _can_link(self, x: str, y: str):
+        """The length and suffix filters on two structs with ``n`` and ``counts``.
+
+        What the counts differ by in all ranges is not shared, so shared <= (total - apart) / 2.
+        """
+        apart = F.expr(f"aggregate(zip_with({x}.counts, {y}.counts, (p, q) -> abs(p - q)), 0, (s, p) -> s + p)")
+        na, nb = F.col(f"{x}.n"), F.col(f"{y}.n")
+        return self._similar(F.least(na, nb), na, nb) & self._similar((na + nb - apart) / 2, na, nb)
+
+    def _with_class(self, df: DataFrame, name: str, out: str) -> DataFrame:
+        """Adds size and counts of the class in column ``name`` as a struct."""
+        own = self.classes.select(F.col("cls").alias(name), F.struct("n", "counts").alias(out))
+        return df.join(own, name)
+
     def _suffix_filter(self, pairs: DataFrame, radius: DataFrame) -> DataFrame:
-        """Drops pairs of single classes whose counts by hash range are too far apart."""
-        own = self.classes.select("cls", "n", "counts").join(radius, "cls", "left")
-        side = lambda c: own.select(
-            F.col("cls").alias(c), F.struct("n", "counts", F.coalesce("radius", F.lit(0.0)).alias("radius")).alias(f"{c}_")
-        )
-        full = pairs.join(side("a"), "a").join(side("b"), "b")
-        apart = F.expr("aggregate(zip_with(a_.counts, b_.counts, (x, y) -> abs(x - y)), 0, (s, x) -> s + x)")
-        total = F.expr("a_.n + b_.n")
-        # shared <= (total - apart) / 2
-        can = self._similar((total - apart) / 2, F.col("a_.n"), F.col("b_.n"))
-        grouped = F.expr("a_.radius > 0 or b_.radius > 0")
-        return full.filter(can | grouped).select("a", "b")
+        """Drops pairs of single classes that the suffix filter tells apart."""
+        full = self._with_class(self._with_class(pairs, "a", "x"), "b", "y")
+        for c in ("a", "b"):
+            full = full.join(radius.select(F.col("cls").alias(c), F.col("radius").alias(f"r{c}")), c, "left")
+        grouped = F.coalesce("ra", F.lit(0.0)) + F.coalesce("rb", F.lit(0.0)) > 0
+        return full.filter(self._can_link("x", "y") | grouped).select("a", "b")
 
     def _members(self, near: DataFrame, stars: DataFrame, radius: DataFrame) -> list[DataFrame]:
         """Links between members of groups whose hubs do not link but are near enough."""
         r = lambda c: radius.select(F.col("cls").alias(c), F.col("radius").alias(f"r{c}"))
         open_ = near.filter("not linked").join(r("a"), "a", "left").join(r("b"), "b", "left")
         open_ = open_.na.fill(0.0, ["ra", "rb"])
-        slack = 1e-9
+        reach = self.far + 1e-9
         open_ = self._save(
-            open_.filter((F.col("ra") + F.col("rb") > 0) & (F.col("ra") + F.col("rb") + self.far + slack >= F.col("d"))),
-            "open",
+            open_.filter((F.col("ra") + F.col("rb") > 0) & (F.col("ra") + F.col("rb") + reach >= F.col("d"))), "open"
         )
         if open_.isEmpty():
             return []
         member = stars.select(F.col("a").alias("hub"), F.col("b").alias("m"), F.col("d").alias("dm"))
-        first = open_.select(F.col("a").alias("hub"), F.col("b").alias("other"), "d", F.col("rb").alias("ro")).unionByName(
-            open_.select(F.col("b").alias("hub"), F.col("a").alias("other"), "d", F.col("ra").alias("ro"))
+        member = self._save(self._with_class(member, "m", "x"), "member")
+        # Members with the other hub.
+        first = open_.select(F.col("a").alias("hub"), F.col("b").alias("other"), "d").unionByName(
+            open_.select(F.col("b").alias("hub"), F.col("a").alias("other"), "d")
         )
-        tried = first.join(member, "hub").filter(F.col("dm") + F.col("ro") + self.far + slack >= F.col("d"))
-        tried = self._save(tried.select("hub", "other", "m", "dm"), "member-hub")
+        tried = self._with_class(first, "other", "y").join(member, "hub")
+        tried = tried.filter((F.col("dm") + reach >= F.col("d")) & self._can_link("x", "y"))
+        tried = self._save(tried.select("hub", "other", "m"), "member-hub")
         seen = self._verify(tried.select(F.col("m").alias("a"), F.col("other").alias("b")).distinct(), "member-links")
-        links = seen.filter("linked").select("a", "b")
-        # Distances of members to the other hub; pairs of groups that linked are done.
-        known = tried.join(seen.select(F.col("a").alias("m"), F.col("b").alias("other"), F.col("d").alias("dx"), "linked"), ["m", "other"])
-        done = known.filter("linked").select(
+        linked = seen.filter("linked").select("a", "b")
+        # Members with members, of pairs of groups that have no link yet.
+        done = tried.join(linked.select(F.col("a").alias("m"), F.col("b").alias("other")), ["m", "other"]).select(
             F.least("hub", "other").alias("a"), F.greatest("hub", "other").alias("b")
-        ).distinct()
-        left = open_.select("a", "b", "d").join(done, ["a", "b"], "left_anti")
-        side = known.select("hub", "other", "m", "dm", "dx")
-        x = side.select(F.col("hub").alias("a"), F.col("other").alias("b"), F.col("m").alias("x"), F.col("dm").alias("xa"), F.col("dx").alias("xb"))
-        y = side.select(F.col("other").alias("a"), F.col("hub").alias("b"), F.col("m").alias("y"), F.col("dm").alias("yb"), F.col("dx").alias("ya"))
-        last = left.join(x, ["a", "b"]).join(y, ["a", "b"]).filter(
-            (F.col("xa") + F.col("yb") + self.far + slack >= F.col("d"))
-            & (F.abs(F.col("xa") - F.col("ya")) <= self.far + slack)
-            & (F.abs(F.col("xb") - F.col("yb")) <= self.far + slack)
         )
-        last = self._save(last.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct(), "member-pairs")
+        left = open_.filter("ra > 0 and rb > 0").join(done.distinct(), ["a", "b"], "left_anti")
+        side = lambda hub, d, c, x: member.select(
+            F.col("hub").alias(hub), F.col("m").alias(c), F.col("dm").alias(d), F.col("x").alias(x)
+        )
+        last = left.join(side("a", "da", "ma", "x"), "a").filter(F.col("da") + F.col("rb") + reach >= F.col("d"))
+        last = last.join(side("b", "db", "mb", "y"), "b").filter(
+            (F.col("da") + F.col("db") + reach >= F.col("d")) & self._can_link("x", "y")
+        )
+        last = self._save(last.select(F.col("ma").alias("a"), F.col("mb").alias("b")).distinct(), "member-pairs")
         if last.isEmpty():
-            return [links]
-        return [links, self._verify(last, "last").filter("linked").select("a", "b")]
+            return [linked]
+        return [linked, self._verify(last, "last").filter("linked").select("a", "b")]
 
     def links(self) -> DataFrame:
         """Verified links between classes (a, b), enough to connect each component.
@@ -384,7 +395,8 @@ class JaccardJoin:
     def components(self) -> DataFrame:
         """``doc_id, n_shingles, component_id`` per row of the documents."""
         root = connected(self.links(), lambda df: self._save(df, "star"))
-        rooted = self.classes.select("cls", "first_id").join(root.withColumnRenamed("node", "cls"), "cls", "left")
+        first = self.members.filter("n > 0").groupBy("cls").agg(F.min("doc_id").alias("first_id"))
+        rooted = first.join(root.withColumnRenamed("node", "cls"), "cls", "left")
         rooted = rooted.withColumn("root", F.coalesce("root", "cls"))
         least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
         labels = rooted.join(least, "root").select("cls", "component_id")

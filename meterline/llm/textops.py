@@ -20,7 +20,7 @@ _INVERSE = pow(_BASE, -1, 1 << 64)
 _PLACE = np.array([pow(0xD1342543DE82EF95, 2 * k + 1, 1 << 64) for k in range(64)], dtype=np.uint64)
 
 #: Bytes hashed at once; a longer text is cut at white space.
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 
 _powers: dict[str, np.ndarray] = {}
 
@@ -110,14 +110,15 @@ def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _hash_chunk(data: np.ndarray) -> np.ndarray:
-    space = _SPACE[data]
-    edge = np.flatnonzero(np.diff(space, prepend=True, append=True))
+    space = np.ones(len(data) + 2, dtype=bool)
+    space[1:-1] = _SPACE[data]
+    edge = np.flatnonzero(space[1:] != space[:-1])
     if not len(edge):
         return np.empty(0, dtype=np.uint64)
     start, end = edge[::2], edge[1::2]
     up, down = _power(len(data))
     total = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: len(data)], out=total[1:])
+    np.cumsum(up[: len(data)] * (data + np.uint64(1)), out=total[1:])
     return mix((total[end] - total[start]) * down[start])
 
 
