@@ -7,7 +7,7 @@ whose filter sets position ``p``. The AND of an n-gram's rows is the mask of all
 from each slice's fill, are taken off, and the largest corrected share decides.
 
 Training counts the n-grams of a bounded sample of labelled documents: about ``PER_LANGUAGE`` of each
-language, those whose text hash is lowest. An n-gram belongs to a language if it makes up at least
+language, those whose hash is lowest. An n-gram belongs to a language if it makes up at least
 ``1 / GRAMS`` of its n-grams there, so no set has more than ``GRAMS`` members, whatever the corpus.
 
 Defined cases: null texts and texts without letters are ``und`` with score 0. Equal shares go to the
@@ -128,12 +128,14 @@ def _count_step(limit: int = 1 << 21):
     return step
 
 
-def fit(labelled: DataFrame, per_language: int = PER_LANGUAGE, text_col="text", lang_col="lang") -> Model:
-    """Learns from the rows with a text and a language."""
-    own = labelled.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
+def fit(
+    labelled: DataFrame, per_language: int = PER_LANGUAGE, id_col="doc_id", text_col="text", lang_col="lang"
+) -> Model:
+    """Learns from the rows with a text and a language; the id only spreads copies in the sample."""
+    own = labelled.select(F.col(id_col).alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
     own = own.filter("lang is not null and text is not null")
     size = own.groupBy("lang").agg((F.lit(float(per_language)) / F.count("*")).alias("rate"))
-    u = F.pmod(F.xxhash64("text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    u = F.pmod(F.xxhash64("id", "text"), F.lit(1 << 30)) / F.lit(float(1 << 30))
     some = own.join(F.broadcast(size), "lang").filter(u < F.col("rate")).select("lang", "text")  # a row per language
     found = map_rows(some, _count_step(), "lang string, gram long, n long")
     total = found.groupBy("lang", "gram").agg(F.sum("n").alias("n"))

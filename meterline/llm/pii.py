@@ -31,7 +31,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .textops import map_rows, sha256_hex
+from .textops import map_rows, sha256_hex, thinned
 
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("none", *KINDS)
@@ -43,8 +43,9 @@ IP = re.compile(r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
-#: Documents the field is trained on at most (those with the smallest hash of their text).
-TRAIN_DOCS = 4000
+#: Documents the field is trained on at most (expected number) and their length.
+TRAIN_DOCS = 3000
+TRAIN_CHARS = 20_000
 #: Message rounds, damping, the marginal a token needs, digits an added span needs.
 ROUNDS = 8
 DAMPING = 0.5
@@ -270,14 +271,11 @@ def _ordered(spans):
     return sorted(spans, key=lambda s: (KINDS.index(s[0]), s[1]))
 
 
-def train(docs: DataFrame, text_col="text", limit: int = TRAIN_DOCS) -> SkipChain:
-    """The field of at most ``limit`` documents with digits, those of the smallest text hashes."""
-    text = F.col(text_col).cast("string")
-    some = docs.select(text.alias("text"), F.xxhash64(text).alias("h")).filter(
-        "length(text) <= 20000 and text rlike '[0-9][0-9]'"
-    )
-    rows = some.orderBy("h", "text").limit(limit).select("text")
-    return SkipChain.fit([t for (t,) in rows.collect()])
+def train(docs: DataFrame, id_col="doc_id", text_col="text", limit: int = TRAIN_DOCS) -> SkipChain:
+    """The field of about ``limit`` documents with digits at most, those of the lowest hashes."""
+    some = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+    some = some.filter(f"length(text) <= {TRAIN_CHARS} and text rlike '[0-9][0-9]'")
+    return SkipChain.fit([t for (t,) in thinned(some, limit, "id", "text").sort("text", "id").select("text").collect()])
 
 
 def _scan_step(field):
@@ -293,7 +291,7 @@ def _scan_step(field):
 
 def scan(docs: DataFrame, field: SkipChain | None = None, id_col="doc_id", text_col="text") -> DataFrame:
     """``doc_id, spans``: array of kind, start, end, fixed."""
-    shared = docs.sparkSession.sparkContext.broadcast(field or train(docs, text_col))
+    shared = docs.sparkSession.sparkContext.broadcast(field or train(docs, id_col, text_col))
 
     def step(rows):
         for doc_id, fixed, more in _scan_step(shared)(rows):
@@ -305,7 +303,7 @@ def scan(docs: DataFrame, field: SkipChain | None = None, id_col="doc_id", text_
 
 
 def scan_digests(docs: DataFrame, field: SkipChain | None = None, id_col="doc_id", text_col="text") -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(field or train(docs, text_col))
+    shared = docs.sparkSession.sparkContext.broadcast(field or train(docs, id_col, text_col))
 
     def step(rows):
         for doc_id, fixed, more in _scan_step(shared)(rows):

@@ -18,7 +18,9 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Hash buckets of n-grams, trusted documents at most, pseudo-count, threshold in nats per n-gram.
+from .textops import thinned
+
+#: Hash buckets of n-grams, trusted documents at most (expected number), pseudo-count, threshold in nats per n-gram.
 BITS = 14
 TRUSTED = 20_000
 PRIOR = 0.5
@@ -46,14 +48,14 @@ def _bucket(*parts: Column) -> Column:
 
 
 def trusted_ids(labels: DataFrame, limit: int = TRUSTED) -> DataFrame:
-    """Ids of good, not toxic documents: at most ``limit``, those of the smallest hashes."""
+    """Ids of good, not toxic documents: about ``limit`` at most, those of the lowest hashes."""
     good = labels.filter("quality = 1 and coalesce(toxic, 0) = 0 and doc_id is not null").select("doc_id").distinct()
-    return good.orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit).select(F.col("doc_id").alias("_trusted"))
+    return thinned(good, limit, "doc_id").select(F.col("doc_id").alias("_trusted"))
 
 
 def log_ratios(docs: DataFrame, labels: DataFrame) -> list[float]:
     """Log ratio of target to raw probability by bucket."""
-    ids = F.broadcast(trusted_ids(labels))  # at most TRUSTED ids
+    ids = F.broadcast(trusted_ids(labels))  # about TRUSTED ids at most
     own = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text"))
     own = own.join(ids, own["doc_id"] == ids["_trusted"], "left")
     h = F.col("_hashes")

@@ -29,6 +29,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def thinned(df: DataFrame, limit: int, *key: str) -> DataFrame:
+    """About ``limit`` rows at most (the expected number), those of the lowest key hashes.
+
+    A filter by a rate: no task or driver gathers candidates, however many tasks there are. Rows of
+    equal keys stay or go together, so the key should hold the id: copies of a text have many.
+    """
+    rate = limit / max(limit, df.count())
+    u = F.pmod(F.xxhash64(*key), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    return df.filter(u < F.lit(rate))
+
+
 def sha256_hex(data: bytes) -> str:
     return hashlib.sha256(data).hexdigest()
 
