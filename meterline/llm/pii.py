@@ -275,7 +275,7 @@ def train(docs: DataFrame, id_col="doc_id", text_col="text", limit: int = TRAIN_
     """The field of about ``limit`` documents with digits at most, those of the lowest hashes."""
     some = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     some = some.filter(f"length(text) <= {TRAIN_CHARS} and text rlike '[0-9][0-9]'")
-    return SkipChain.fit([t for (t,) in thinned(some, limit, "id", "text").sort("text", "id").select("text").collect()])
+    return SkipChain.fit(sorted(t for (t,) in thinned(some, limit, "id", "text").select("text").collect()))
 
 
 def _scan_step(field):
