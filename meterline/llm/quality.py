@@ -146,4 +146,8 @@ def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD)
     ratios = log_ratios(docs, labels)
     own = docs.select(F.struct("*").alias("_row"), F.col("text").cast("string").alias("text"))
     df = score(with_rules(with_hashes(own)), ratios)
-    return df.filter(~F.col("base_failed") & (F.col("score") >= threshold)).select("_row.*")
+    kept = ~F.col("base_failed") & (F.col("score") >= threshold)
+    # The planner would push the condition below the arrays it is made of, again and again within
+    # itself. It does not push a condition through a column that depends on the row's place.
+    df = df.select("_row", kept.alias("_kept"), F.monotonically_increasing_id().alias("_place"))
+    return df.filter("_kept and _place >= 0").select("_row.*")
