@@ -15,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from meterline.llm import bpe, decontam, jaccard, quality, secret_scan
-from meterline.llm.textops import table
+from meterline.llm.textops import table, write_table
 from meterline.session import scratch_path
 
 
@@ -60,7 +60,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents of a folder."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        path = scratch_path(spark, f"pipeline-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        docs = write_table(stage(spark, docs, sf_dir), scratch_path(spark, f"pipeline-{name}"))
     return docs

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from .textops import map_rows, sha256_hex
 
 #: Words whose encoding a worker remembers (in each of two generations), and pairs whose compatibility it remembers.
-WORDS_KEPT = 1 << 18
+WORDS_KEPT = 1 << 17
 PAIRS_KEPT = 1 << 20
 #: Fixed by the vocabulary: how words are cut, and Unicode's white space.
 SPACES = r"\t-\r \x85\xa0  -     　"

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .textops import _PLACE, bit_table, map_rows, mix, word_hashes
+from .textops import _PLACE, bit_table, map_rows, mix, word_hashes, write_table
 
 #: The masks; each selects seven words.
 MASKS = ("1111111", "1101011011", "110010110011", "1010011001011")
@@ -149,20 +149,18 @@ def overlaps(docs: DataFrame, items: DataFrame, id_col="doc_id", item_col="item_
     """
     spark = docs.sparkSession
     items = items.select(F.col(item_col).cast("long").alias("item_id"), F.col(text_col).cast("string").alias("text"))
-    path = scratch_path(spark, "decontam-items")
-    map_rows(items, _item_step, "item_id long, seed long, at int, body binary").write.parquet(path)
-    seeds = spark.read.parquet(path)
+    seeds = map_rows(items, _item_step, "item_id long, seed long, at int, body binary")
+    seeds = write_table(seeds, scratch_path(spark, "decontam-items"))
     low = (1 << TABLE_BITS) - 1
     places = F.array(*[F.shiftrightunsigned("seed", s).bitwiseAND(F.lit(low)) for s in (0, 19, 38)[:PROBES]])
     table = spark.sparkContext.broadcast(bit_table(seeds.select(F.explode(places).alias("place")), TABLE_BITS))
     sizes = seeds.filter("body is not null").agg(F.min(F.expr("length(body) div 8")).alias("n")).first()
     shortest = sizes["n"] or WEIGHT
 
-    path = scratch_path(spark, "decontam-regions")
     schema = "doc_id long, start int, region long, words binary, seeds array<long>, places array<int>"
     own = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
-    map_rows(own, _region_step(table, shortest), schema).write.parquet(path)
-    regions = spark.read.parquet(path)
+    regions = map_rows(own, _region_step(table, shortest), schema)
+    regions = write_table(regions, scratch_path(spark, "decontam-regions"))
 
     # Regions of the same words have the same seeds.
     unlike = regions.groupBy("region").agg(

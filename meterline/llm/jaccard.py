@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import drop_path, scratch_path
-from .textops import bit_table, map_rows, mix, shingles, word_hashes
+from .textops import bit_table, map_rows, mix, shingles, word_hashes, write_table
 
 #: Words per shingle and the least similarity in percent.
 WIDTH = 5
@@ -153,7 +153,7 @@ def _class_step(width: int, percent: int, sketch):
     return step
 
 
-def _combine_step(block: int = 1 << 18):
+def _combine_step(block: int = 1 << 16):
     """Explodes prefixes and combines the rows of one token and hub that a task holds.
 
     ``rest`` is the largest number of shingles from the token's place on, which bounds what two
@@ -217,9 +217,8 @@ class JaccardJoin:
 
     def _save(self, df: DataFrame, label: str) -> DataFrame:
         path = scratch_path(self.spark, f"jaccard-{label}")
-        df.write.parquet(path)
         self._written.append(path)
-        return self.spark.read.parquet(path)
+        return write_table(df, path)
 
     def _similar(self, shared, a, b):
         """Whether sets of sizes ``a`` and ``b`` with ``shared`` common members link."""

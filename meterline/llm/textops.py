@@ -40,6 +40,29 @@ def thinned(df: DataFrame, limit: int, *key: str) -> DataFrame:
     return df.filter(u < F.lit(rate))
 
 
+BATCH_ROWS = 1000
+_BATCH_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def write_table(df: DataFrame, path: str) -> DataFrame:
+    """Writes a table of this run and reads it again.
+
+    Rows that carry texts or sets are some kilobytes each, so Arrow batches are kept small while the
+    table is written; the session's setting is put back afterwards.
+    """
+    conf = df.sparkSession.conf
+    before = conf.get(_BATCH_KEY, None)
+    conf.set(_BATCH_KEY, str(BATCH_ROWS))
+    try:
+        df.write.parquet(path)
+    finally:
+        if before is None:
+            conf.unset(_BATCH_KEY)
+        else:
+            conf.set(_BATCH_KEY, before)
+    return df.sparkSession.read.parquet(path)
+
+
 def sha256_hex(data: bytes) -> str:
     return hashlib.sha256(data).hexdigest()
 
