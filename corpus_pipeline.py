@@ -19,6 +19,12 @@ from meterline.llm.textops import table, write_table
 from meterline.session import scratch_path
 
 
+def tuned(spark: SparkSession) -> SparkSession:
+    """The session setting this application runs with: small Arrow batches, as rows carry whole texts."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    return spark
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the fixed rules and the log-likelihood ratio keep."""
     return quality.keep_good(docs, table(spark, sf_dir, "labels"))
@@ -26,21 +32,25 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of similar ones, that of the smallest id."""
+    tuned(spark)
     return jaccard.keep_first(docs)
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that overlap no benchmark item."""
+    tuned(spark)
     return decontam.drop_contaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, secrets in their texts replaced by a mark."""
+    tuned(spark)
     return secret_scan.redact(docs)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token count and digests of tokens and decoded text."""
+    tuned(spark)
     return bpe.encode_digests(docs)
 
 

@@ -133,21 +133,28 @@ def with_rules(docs: DataFrame) -> DataFrame:
 RULES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "score", "kept"]
 
 
+def _settled(df: DataFrame, *columns: str) -> DataFrame:
+    """The columns, computed once: a later filter on them is not pushed below.
+
+    The planner would push it into the arrays they are made of, again and again within itself, and
+    not end. It does not push a condition through a column that depends on the row's place.
+    """
+    return df.select(*columns, F.monotonically_increasing_id().alias("_place")).filter("_place >= 0").drop("_place")
+
+
+def _judged(df: DataFrame, ratios: list[float], threshold: float) -> DataFrame:
+    df = score(with_rules(with_hashes(df)), ratios)
+    return df.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold))
+
+
 def judge(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``doc_id``, the fixed rules' counts, ``score`` and ``kept`` for every row."""
-    ratios = log_ratios(docs, labels)
     own = docs.select("doc_id", F.col("text").cast("string").alias("text"))
-    df = score(with_rules(with_hashes(own)), ratios)
-    return df.withColumn("kept", ~F.col("base_failed") & (F.col("score") >= threshold)).select("doc_id", *RULES)
+    return _settled(_judged(own, log_ratios(docs, labels), threshold), "doc_id", *RULES)
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` that pass."""
-    ratios = log_ratios(docs, labels)
     own = docs.select(F.struct("*").alias("_row"), F.col("text").cast("string").alias("text"))
-    df = score(with_rules(with_hashes(own)), ratios)
-    kept = ~F.col("base_failed") & (F.col("score") >= threshold)
-    # The planner would push the condition below the arrays it is made of, again and again within
-    # itself. It does not push a condition through a column that depends on the row's place.
-    df = df.select("_row", kept.alias("_kept"), F.monotonically_increasing_id().alias("_place"))
-    return df.filter("_kept and _place >= 0").select("_row.*")
+    judged = _settled(_judged(own, log_ratios(docs, labels), threshold), "_row", "kept")
+    return judged.filter("kept").select("_row.*")
