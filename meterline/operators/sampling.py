@@ -10,6 +10,8 @@ from ..functions.hashing import MD5_SPAN, md5_int, md5_uniform
 # A refinement step of exact_sample looks at 12 of the hash's 60 bits.
 _STEP_BITS = 12
 _HASH_BITS = 60
+# Rows of one prefix that are put in order; more are narrowed down further.
+_FEW = 10_000
 
 
 def bernoulli(df: DataFrame, fraction: float, key: list[Column | str], seed: int = 42) -> DataFrame:
@@ -33,20 +35,43 @@ def cap(
 def exact_sample(df: DataFrame, n: int, key: list[Column | str], seed: int = 42) -> DataFrame:
     """Exactly ``n`` rows without replacement (all rows if there are fewer).
 
-    These are the rows of the n smallest key hashes. A global sort-and-limit would send n
-    rows through one task; instead counts per hash prefix narrow down the n-th smallest
-    hash, every row below it is kept by a plain filter, and only the few rows inside the
-    last prefix are ordered.
+    These are the first n rows in the order of key hash, then hash of the whole row, so the same
+    rows whatever the partitions. A global sort-and-limit would send n rows through one task;
+    instead counts per hash prefix narrow down where the n-th row lies, all rows before it are
+    kept by a plain filter, and only the few rows inside the last prefix are ordered. Where
+    more rows share a key hash, their row hashes are narrowed down in the same way; rows that share
+    that too are copies, and any of them are counted off.
     """
-    h = md5_int(*key, seed=seed)
-    hashed = df.withColumn("_h", h)
-    low, bits, need = 0, 0, n
+    if n <= 0:
+        return df.limit(0)
+    names = df.columns
+    part = df.withColumn("_h", md5_int(*key, seed=seed)).withColumn("_r", md5_int(*names, seed=seed))
+    kept, need = None, n
+    for column in ("_h", "_r"):
+        found = _edge(part, column, need)
+        if found is None:
+            return df
+        low, span, need, size = found
+        below = part.filter(F.col(column) < low)
+        kept = below if kept is None else kept.unionByName(below)
+        part = part.filter((F.col(column) >= low) & (F.col(column) < low + span))
+        if size <= _FEW:
+            return kept.unionByName(part.orderBy("_h", "_r", *names).limit(need)).drop("_h", "_r")
+    copies = part.groupBy(*part.columns).agg(F.count("*").alias("_n"))
+    before = Window.orderBy(*names).rowsBetween(Window.unboundedPreceding, -1)  # rows of one 60-bit hash
+    take = F.least("_n", F.lit(need) - F.coalesce(F.sum("_n").over(before), F.lit(0))).alias("_take")
+    counted = copies.select(*part.columns, take).filter("_take > 0")
+    some = counted.withColumn("_take", F.explode(F.sequence(F.lit(1), F.col("_take")))).drop("_take")
+    return kept.unionByName(some).drop("_h", "_r")
+
+
+def _edge(df: DataFrame, column: str, need: int) -> tuple[int, int, int, int] | None:
+    """Range of hashes with the ``need``-th smallest: low, span, rows needed of it, rows in it."""
+    low, bits, size = 0, 0, 0
     while bits + _STEP_BITS <= _HASH_BITS:
         shift = _HASH_BITS - bits - _STEP_BITS
-        inside = hashed.select("_h").filter(
-            (F.col("_h") >= low) & (F.col("_h") < low + (MD5_SPAN >> bits))
-        )
-        counts = inside.groupBy(F.shiftright("_h", shift).alias("prefix")).agg(F.count("*").alias("n"))
+        inside = df.select(column).filter((F.col(column) >= low) & (F.col(column) < low + (MD5_SPAN >> bits)))
+        counts = inside.groupBy(F.shiftright(column, shift).alias("prefix")).agg(F.count("*").alias("n"))
         so_far = F.sum("n").over(Window.orderBy("prefix"))  # at most 2**12 prefixes
         edge = (
             counts.withColumn("cum", so_far)
@@ -54,32 +79,9 @@ def exact_sample(df: DataFrame, n: int, key: list[Column | str], seed: int = 42)
             .first()
         )
         if edge is None:
-            return df
+            return None
         need -= edge["cum"] - edge["n"]
-        low, bits = edge["prefix"] << shift, bits + _STEP_BITS
-        if edge["n"] <= 10_000:
+        low, bits, size = edge["prefix"] << shift, bits + _STEP_BITS, edge["n"]
+        if size <= _FEW:
             break
-    span = MD5_SPAN >> bits
-    below = hashed.filter(F.col("_h") < low)
-    tie = hashed.filter((F.col("_h") >= low) & (F.col("_h") < low + span))
-    if edge["n"] <= 10_000:
-        return below.unionByName(tie.orderBy("_h", *key).limit(need)).drop("_h")
-    return below.unionByName(_first_rows(tie, need)).drop("_h")
-
-
-def _first_rows(df: DataFrame, n: int) -> DataFrame:
-    """Any ``n`` rows of a large group of copies, counted off partition by partition."""
-    df = df.withColumn("_p", F.spark_partition_id())
-    before = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    start = (  # one row per input partition
-        df.groupBy("_p")
-        .agg(F.count("*").alias("_n"))
-        .select("_p", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    )
-    rank = F.row_number().over(Window.partitionBy("_p").orderBy("_h"))
-    return (
-        df.withColumn("_rank", rank)
-        .join(F.broadcast(start), "_p")
-        .filter(F.col("_start") + F.col("_rank") <= n)
-        .drop("_p", "_rank", "_start")
-    )
+    return low, MD5_SPAN >> bits, need, size

@@ -30,7 +30,6 @@ from ..search import rungs, runner
 from ..search.space import SPACE, draw_configs
 from ..session import drop_path, scratch_path, spread, tune
 from ..sources.months import conform
-from ..sources.synthetic import trips_for_ids
 from ..sources.trips import TRIP_KEY, line_trips, trips_of
 from ..streaming.pipeline import run_available
 
@@ -514,14 +513,6 @@ def search_small(spark, d):
     return found.reports
 
 
-def synthetic_trips(spark, d):
-    """A made-up trip per order line key, cleaned; the share each rule rejects."""
-    lines = table(spark, d, "lineitem").select(
-        F.xxhash64("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("id")
-    )
-    return cl.waterfall(trips_for_ids(lines, (2023, 1)))
-
-
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out = {
         "split_summary": split_summary,
@@ -571,7 +562,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "ridge_baseline": ridge_baseline,
         "two_stage": two_stage,
         "search_small": search_small,
-        "synthetic_trips": synthetic_trips,
     }
     for rule in cl.RULES:
         out[f"filter_{rule}"] = _filter_query(rule)

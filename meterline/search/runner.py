@@ -92,15 +92,23 @@ def run(
     binned, path = write_binned(spark, binner, train, valid)
     trial_rows: list[tuple] = []
     report_rows: list[tuple] = []
+    orphans: list[int] = []
     if store is not None:  # a study's own rows: at most 80 reports per trial
         trial_rows = [tuple(r) for r in store.trials(spark, study).collect()]
-        report_rows = [tuple(r) for r in store.reports(spark, study).collect()]
+        known = {r[1] for r in trial_rows}
+        every = [tuple(r) for r in store.reports(spark, study).collect()]
+        # A run that broke off between the two appends leaves reports without a trial.
+        report_rows = [r for r in every if r[1] in known]
+        orphans = [r[1] for r in every]
     last_round = max_reports * report_every  # the last report ends every trial before that
-    first_new = 1 + max([r[1] for r in trial_rows], default=-1)
+    first_new = 1 + max([r[1] for r in trial_rows] + orphans, default=-1)
     todo = list(range(first_new, first_new + n_trials))
     try:
         while todo:
-            ids, todo = todo[:wave], todo[wave:]
+            # Waves of random draws end where proposals can begin.
+            missing = STARTUP_TRIALS - len(trial_rows)
+            size = min(wave, missing) if missing > 0 else wave
+            ids, todo = todo[:size], todo[size:]
             history = spark.createDataFrame(trial_rows, TRIALS).filter(F.col("rmse").isNotNull())
             configs = _configs(spark, study, ids, history, len(trial_rows), seed)
             configs = {t: {**c, **(overrides or {})} for t, c in configs.items()}

@@ -190,3 +190,12 @@ def test_finds_the_signal(spark, months, tmp_path):
 def test_no_rows_is_an_error(spark, months):
     with pytest.raises(ValueError, match="no train rows"):
         fit(months["train"].limit(0), months["valid"], {}, max_rounds=1)
+
+
+def test_row_draws_do_not_depend_on_the_partitions(spark, small):
+    runs = []
+    for parts in (2, 5):
+        binned, _ = B.write_binned(spark, BINNER, small.repartition(parts), small, "y")
+        e = B.boost(binned, BINNER, {0: B.BoostConfig(max_depth=3, subsample=0.5)}, max_rounds=3, seed=4)[0]
+        runs.append(e.valid_rmse)
+    assert runs[0] == pytest.approx(runs[1], abs=1e-12)

@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from meterline.operators.sampling import _first_rows, bernoulli, cap, exact_sample
+from meterline.operators.sampling import bernoulli, cap, exact_sample
 
 KEY = ["id"]
 
@@ -38,6 +38,11 @@ def test_exact_sample_with_a_hot_key(spark):
         assert exact_sample(df, n, KEY).count() == n
 
 
-def test_first_rows_of_copies(spark):
-    df = spark.range(0, 9000, numPartitions=7).select(F.lit(1).alias("id"), F.lit(5).alias("_h"))
-    assert _first_rows(df, 6123).count() == 6123
+def test_hot_key_gives_the_same_rows_however_partitioned(spark):
+    """15,000 rows share a key but differ otherwise."""
+    df = spark.range(0, 45_000).select(
+        F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")).alias("id"), F.col("id").alias("other")
+    )
+    a, b = (exact_sample(df.repartition(p), 14_000, KEY) for p in (3, 7))
+    assert sorted(r["other"] for r in a.collect()) == sorted(r["other"] for r in b.collect())
+    assert a.count() == 14_000
