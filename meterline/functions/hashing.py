@@ -30,11 +30,6 @@ def fast_uniform_sql(key: str) -> str:
     return f"((xxhash64({key}) & {(1 << 53) - 1}) / {float(1 << 53)!r}e0)"
 
 
-def gaussian(u1: Column, u2: Column) -> Column:
-    """Standard normal draw from two uniforms (Box-Muller)."""
-    return F.sqrt(F.lit(-2.0) * F.log1p(-u1)) * F.cos(F.lit(2.0) * F.pi() * u2)
-
-
 def exponential(u: Column, mean: float) -> Column:
     return F.lit(-mean) * F.log1p(-u)
 
