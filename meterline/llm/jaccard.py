@@ -50,6 +50,8 @@ SKETCH_BITS = 20
 SKETCH_BLOCK = 1 << 20
 #: Bits of the filter that says whose sets a scan returns (2 MB).
 WANTED_BITS = 24
+#: Pairs of one class that are verified by one task, about.
+SHARE = 4096
 #: Hash ranges of the suffix filter.
 RANGES = 64
 
@@ -115,17 +117,21 @@ def _scan_step(width: int, sketch_bits: int, block: int):
     return step
 
 
+def _place(column: str):
+    """Place of an id in the filter of wanted documents; null ids share one."""
+    return F.xxhash64(column).bitwiseAND(F.lit((1 << WANTED_BITS) - 1)).alias("place")
+
+
 def _sets_step(width: int, wanted):
-    """Rows of a later scan: class and set of the documents whose class the filter may hold."""
+    """Rows of a later scan: class and set of the documents whose id the filter may hold."""
 
     def step(rows: Iterator[tuple]) -> Iterator[tuple]:
         bits = wanted.value
-        for (text,) in rows:
-            own = shingle_set(text, width)
-            name = class_id(own)
-            place = name & ((1 << WANTED_BITS) - 1)
-            if name != EMPTY_CLASS and int(bits[place >> 5]) >> (place & 31) & 1:
-                yield name, own.tobytes()
+        for place, text in rows:
+            if int(bits[place >> 5]) >> (place & 31) & 1:
+                own = shingle_set(text, width)
+                if len(own):
+                    yield class_id(own), own.tobytes()
 
     return step
 
@@ -137,7 +143,7 @@ def _class_step(width: int, percent: int, sketch):
     def step(rows: Iterator[tuple]) -> Iterator[tuple]:
         weight = sketch.value
         shift = np.uint64(64 - (len(weight).bit_length() - 1))
-        for (text,) in rows:
+        for doc_id, text in rows:
             own = shingle_set(text, width)
             n = len(own)
             if not n:
@@ -148,7 +154,8 @@ def _class_step(width: int, percent: int, sketch):
             prefix = own[order[: prefix_length(n, percent)]].tobytes()
             least = np.array([(own * s).min() for s in _SEEDS[2:]], dtype=np.uint64)
             counts = np.bincount((own >> np.uint64(58)).astype(np.int64), minlength=RANGES)
-            yield class_id(own), n, prefix, _signed(least), counts.tolist(), n - int(np.count_nonzero(heavy))
+            rare = n - int(np.count_nonzero(heavy))
+            yield class_id(own), doc_id, n, prefix, _signed(least), counts.tolist(), rare
 
     return step
 
@@ -194,8 +201,8 @@ def _combine_step(block: int = 1 << 16):
 
 
 def _verify_step(rows: Iterator[tuple]) -> Iterator[tuple]:
-    for a, b, set_a, set_b in rows:
-        x, y = np.frombuffer(set_a, dtype=np.uint64), np.frombuffer(set_b, dtype=np.uint64)
+    for a, b, *sets in rows:
+        x, y = (np.frombuffer(members, dtype=np.uint64) for members in sets)
         place = np.searchsorted(x, y)
         place[place == len(x)] = 0
         yield a, b, len(x), len(y), int((x[place] == y).sum())
@@ -233,26 +240,49 @@ class JaccardJoin:
         sketch[cells["id"].to_numpy()] = cells["n"].to_numpy()
         self.sketch = self.spark.sparkContext.broadcast(np.minimum(sketch, 1 << 30).astype(np.int32))
         step = _class_step(self.width, self.percent, self.sketch)
-        schema = "cls long, n long, prefix binary, least array<long>, counts array<int>, rare long"
-        rows = map_rows(self.docs.select("text"), step, schema)
-        # Rows of a class are alike.
+        schema = "cls long, id long, n long, prefix binary, least array<long>, counts array<int>, rare long"
+        rows = map_rows(self.docs, step, schema)
+        # Rows of a class are alike; later scans take its set from the document of its smallest id.
         first = [F.first(c).alias(c) for c in ("n", "prefix", "least", "counts", "rare")]
-        self.classes = self._save(rows.groupBy("cls").agg(*first), "classes")
+        self.classes = self._save(rows.groupBy("cls").agg(F.min("id").alias("rep"), *first), "classes")
 
     def _sets(self, names: DataFrame) -> DataFrame:
-        """Set of each class named in ``cls``; a filter of fixed size spares the others' rows."""
-        place = F.col("cls").bitwiseAND(F.lit((1 << WANTED_BITS) - 1))
-        wanted = self.spark.sparkContext.broadcast(bit_table(names.select(place.alias("place")), WANTED_BITS))
-        scan = map_rows(self.docs.select("text"), _sets_step(self.width, wanted), "cls long, members binary")
+        """Set of each class named in ``cls``, read from one document of the class.
+
+        A filter of fixed size on that document's id spares the other documents' rows and most of
+        the work on them. It may let other classes through; the join with the pairs drops those.
+        """
+        ids = names.join(self.classes.select("cls", "rep"), "cls")
+        wanted = self.spark.sparkContext.broadcast(bit_table(ids.select(_place("rep")), WANTED_BITS))
+        rows = self.docs.select(_place("doc_id"), "text")
+        scan = map_rows(rows, _sets_step(self.width, wanted), "cls long, members binary")
         return scan.groupBy("cls").agg(F.first("members").alias("members"))
 
     def _verify(self, pairs: DataFrame, label: str) -> DataFrame:
-        """Sizes and shared shingles of each pair ``a``, ``b`` of classes, and its distance."""
-        names = pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct()
-        sets = self._save(self._sets(names), f"{label}-sets")
-        left = sets.select(F.col("cls").alias("a"), F.col("members").alias("set_a"))
-        right = sets.select(F.col("cls").alias("b"), F.col("members").alias("set_b"))
-        joined = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "set_a", "set_b")
+        """Sizes and shared shingles of each pair ``a``, ``b`` of classes, and its distance.
+
+        The class with more pairs (a hub, say) is joined first, its pairs in parts of about
+        ``SHARE``; so no key is hot there. The other one then has at most as many pairs as the root
+        of twice their number. Rows that hold sets are merged, never broadcast.
+        """
+        degree = pairs.select(F.explode(F.array("a", "b")).alias("cls")).groupBy("cls").agg(F.count("*").alias("k"))
+        of = lambda c: degree.select(F.col("cls").alias(c), F.col("k").alias(f"k{c}"))
+        first = F.col("ka") >= F.col("kb")
+        sided = pairs.select("a", "b").join(of("a"), "a").join(of("b"), "b").select(
+            "a",
+            "b",
+            F.when(first, F.col("a")).otherwise(F.col("b")).alias("many"),
+            F.when(first, F.col("b")).otherwise(F.col("a")).alias("few"),
+            F.ceil(F.greatest("ka", "kb") / SHARE).alias("parts"),
+        )
+        sided = self._save(sided.withColumn("part", F.expr("pmod(xxhash64(few), parts)")), f"{label}-sided")
+        # Both joins read one shuffle of the sets: the plan holds the same exchange twice.
+        sets = self._sets(degree.select("cls"))
+        cut = sided.select(F.col("many").alias("cls"), F.explode(F.expr("sequence(0L, parts - 1)")).alias("part"))
+        left = sets.join(cut.distinct(), "cls").select(F.col("cls").alias("many"), "part", F.col("members").alias("x"))
+        right = sets.select(F.col("cls").alias("few"), F.col("members").alias("y"))
+        joined = sided.drop("parts").join(left.hint("merge"), ["many", "part"]).join(right.hint("merge"), "few")
+        joined = joined.select("a", "b", "x", "y")
         found = map_rows(joined, _verify_step, "a long, b long, na long, nb long, shared long")
         shared, na, nb = F.col("shared"), F.col("na"), F.col("nb")
         return self._save(
