@@ -7,7 +7,7 @@ Exact for any data: two documents link when ``100 * intersection >= percent * un
    all sets out, which would take twice the size of the input.
 2. *Hubs.* Classes that share minima of their hashed sets are compared with one class of those
    minima, the one with the fewest rare shingles (of edited copies, the one edited least). Those
-   found similar join that hub's group, at a known distance. Large groups of near copies become
+   found similar join that hub's group, at a known distance (length and suffix filter go first). Large groups of near copies become
    stars here: linear, never all pairs.
 3. *Prefix join between groups.* Shingles are ordered rare first, by a sketch of document
    frequencies of fixed size (any total order gives the same result). Similar sets share a shingle
@@ -266,6 +266,7 @@ class JaccardJoin:
         of twice their number. Rows that hold sets are merged, never broadcast.
         """
         degree = pairs.select(F.explode(F.array("a", "b")).alias("cls")).groupBy("cls").agg(F.count("*").alias("k"))
+        degree = self._save(degree, f"{label}-degree")
         of = lambda c: degree.select(F.col("cls").alias(c), F.col("k").alias(f"k{c}"))
         first = F.col("ka") >= F.col("kb")
         sided = pairs.select("a", "b").join(of("a"), "a").join(of("b"), "b").select(
@@ -313,7 +314,9 @@ class JaccardJoin:
             .select(F.col("best.hub.cls").alias("a"), F.col("cls").alias("b"))
             .filter("a <> b")
         )
-        pairs = self._save(tried, "tried")
+        # Many classes share a minimum (that of a common passage) and little else.
+        near = self._with_class(self._with_class(tried, "a", "x"), "b", "y").filter(self._can_link("x", "y"))
+        pairs = self._save(near.select("a", "b"), "tried")
         return self._verify(pairs, "stars").filter("linked").select("a", "b", "d")
 
     def _between(self, stars: DataFrame) -> DataFrame:
