@@ -236,9 +236,13 @@ def edited(rng, words, edits):
     return out
 
 
-@pytest.mark.parametrize("seed", [1, 2, 3])
-def test_jaccard_on_groups_of_edited_copies(spark, seed):
-    """Chains of edits around several originals: links between members that no hub shows."""
+@pytest.mark.parametrize(("seed", "share"), [(1, 4096), (2, 4096), (3, 3)])
+def test_jaccard_on_groups_of_edited_copies(spark, monkeypatch, seed, share):
+    """Chains of edits around several originals: links between members that no hub shows.
+
+    With a small share, the pairs of a hub are verified in many parts.
+    """
+    monkeypatch.setattr(jaccard, "SHARE", share)
     rng = random.Random(seed)
     texts = []
     for _ in range(4):
