@@ -4,7 +4,7 @@ Exact for any data: two documents link when ``100 * intersection >= percent * un
 
 1. A scan hashes each document's set of shingles. Documents of equal sets form a class; only
    classes go on, so copies cost one row each. Later scans hash the texts again instead of writing
-   all sets out, which would take twice the size of the input.
+   all sets out, which would take twice the size of the input; pairs are verified on compressed texts.
 2. *Hubs.* Classes that share minima of their hashed sets are compared with one class of those
    minima, the one with the fewest rare shingles (of edited copies, the one edited least). Those
    found similar join that hub's group, at a known distance (length and suffix filter go first). Large groups of near copies become
@@ -33,6 +33,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -54,6 +55,9 @@ WANTED_BITS = 24
 SHARE = 4096
 #: Hash ranges of the suffix filter.
 RANGES = 64
+#: Compression level of texts on their way to a verification, and shingles of sets a task keeps there.
+PACK_LEVEL = 3
+HELD_SHINGLES = 1 << 19
 
 _SEEDS = mix(np.arange(1, MINIMA + 3, dtype=np.uint64) * np.uint64(0x632BE59BD9B4E019)) | np.uint64(1)
 EMPTY_CLASS = 0
@@ -123,7 +127,11 @@ def _place(column: str):
 
 
 def _sets_step(width: int, wanted):
-    """Rows of a later scan: class and set of the documents whose id the filter may hold."""
+    """Rows of a later scan: class and packed text of the documents whose id the filter may hold.
+
+    A packed text takes a third of its set's bytes or less, as hashes don't compress; the set is
+    made again from it where a pair is verified.
+    """
 
     def step(rows: Iterator[tuple]) -> Iterator[tuple]:
         bits = wanted.value
@@ -131,7 +139,8 @@ def _sets_step(width: int, wanted):
             if int(bits[place >> 5]) >> (place & 31) & 1:
                 own = shingle_set(text, width)
                 if len(own):
-                    yield class_id(own), own.tobytes()
+                    words = text.encode("utf-8", "surrogatepass").lower()
+                    yield class_id(own), zstandard.compress(words, PACK_LEVEL)
 
     return step
 
@@ -200,12 +209,29 @@ def _combine_step(block: int = 1 << 16):
     return step
 
 
-def _verify_step(rows: Iterator[tuple]) -> Iterator[tuple]:
-    for a, b, *sets in rows:
-        x, y = (np.frombuffer(members, dtype=np.uint64) for members in sets)
-        place = np.searchsorted(x, y)
-        place[place == len(x)] = 0
-        yield a, b, len(x), len(y), int((x[place] == y).sum())
+def _verify_step(width: int):
+    """Counts what two sets share. Sets made again are kept for the next pairs, a few megabytes."""
+
+    def step(rows: Iterator[tuple]) -> Iterator[tuple]:
+        held: dict[bytes, np.ndarray] = {}
+        size = 0
+        for a, b, *packed in rows:
+            sets = []
+            for one in packed:
+                own = held.get(one)
+                if own is None:
+                    own = shingle_set(zstandard.decompress(one).decode("utf-8", "surrogatepass"), width)
+                    if size + len(own) > HELD_SHINGLES:
+                        held, size = {}, 0
+                    held[one] = own
+                    size += len(own)
+                sets.append(own)
+            x, y = sets
+            place = np.searchsorted(x, y)
+            place[place == len(x)] = 0
+            yield a, b, len(x), len(y), int((x[place] == y).sum())
+
+    return step
 
 
 class JaccardJoin:
@@ -247,7 +273,7 @@ class JaccardJoin:
         self.classes = self._save(rows.groupBy("cls").agg(F.min("id").alias("rep"), *first), "classes")
 
     def _sets(self, names: DataFrame) -> DataFrame:
-        """Set of each class named in ``cls``, read from one document of the class.
+        """Packed text of each class named in ``cls``, that of one document of the class.
 
         A filter of fixed size on that document's id spares the other documents' rows and most of
         the work on them. It may let other classes through; the join with the pairs drops those.
@@ -263,7 +289,7 @@ class JaccardJoin:
 
         The class with more pairs (a hub, say) is joined first, its pairs in parts of about
         ``SHARE``; so no key is hot there. The other one then has at most as many pairs as the root
-        of twice their number. Rows that hold sets are merged, never broadcast.
+        of twice their number. Rows that hold texts are merged, never broadcast.
         """
         degree = pairs.select(F.explode(F.array("a", "b")).alias("cls")).groupBy("cls").agg(F.count("*").alias("k"))
         degree = self._save(degree, f"{label}-degree")
@@ -284,7 +310,7 @@ class JaccardJoin:
         right = sets.select(F.col("cls").alias("few"), F.col("members").alias("y"))
         joined = sided.drop("parts").join(left.hint("merge"), ["many", "part"]).join(right.hint("merge"), "few")
         joined = joined.select("a", "b", "x", "y")
-        found = map_rows(joined, _verify_step, "a long, b long, na long, nb long, shared long")
+        found = map_rows(joined, _verify_step(self.width), "a long, b long, na long, nb long, shared long")
         shared, na, nb = F.col("shared"), F.col("na"), F.col("nb")
         return self._save(
             found.select(
