@@ -11,56 +11,58 @@ from pyspark.sql import functions as F
 from ..schema import CATEGORICAL_FEATURES, NUMERIC_FEATURES, VOCABULARY
 
 MAX_BINS = 256  # fixed value: the learner's default number of bins
-VALUE_BITS = 12
+# Buckets of the first look at a feature: values alike in so many leading binary digits.
+BUCKET_BITS = 12
 
 
-def compact(v: Column, bits: int = VALUE_BITS) -> Column:
+def bucket(v: Column, bits: int = BUCKET_BITS) -> Column:
     """Rounds to ``bits`` significant binary digits, which keeps the order of values.
 
-    A feature then has at most 2**(bits-1) distinct values per power of two, so a
-    table of value counts stays small however many rows there are.
+    A feature then has at most 2**(bits-1) buckets per power of two, however many rows there are.
     """
     scale = F.pow(F.lit(2.0), F.lit(bits - 1.0) - F.floor(F.log2(F.abs(v))))
-    return F.when(v == 0, 0.0).when(~F.isnan(v), F.floor(v * scale + 0.5).cast("double") / scale)
+    edge = (v == 0) | (F.abs(v) == float("inf"))
+    return F.when(edge, v).otherwise(F.floor(v * scale + 0.5).cast("double") / scale)
 
 
-def value_counts(df: DataFrame, features: list[str], bits: int = VALUE_BITS) -> DataFrame:
-    """Rows per (feature position, compact value). Partial counts form before the shuffle."""
+def value_counts(df: DataFrame, features: list[str]) -> DataFrame:
+    """Rows per (feature position, value), missing ones left out. Partial counts form before the shuffle."""
     values = F.array(*[F.col(c).cast("double") for c in features])
     return (
-        df.select(F.posexplode(values).alias("pos", "exact"))
-        .select("pos", compact(F.col("exact"), bits).alias("value"))
-        .filter(F.col("value").isNotNull())
+        df.select(F.posexplode(values).alias("pos", "value"))
+        .filter("value is not null and not isnan(value)")
         .groupBy("pos", "value")
         .agg(F.count("*").alias("n"))
     )
 
 
-def bin_edges(
-    df: DataFrame, features: list[str], max_bins: int = MAX_BINS, bits: int = VALUE_BITS
-) -> DataFrame:
+def bin_edges(df: DataFrame, features: list[str], max_bins: int = MAX_BINS) -> DataFrame:
     """(pos, edge): values that start a new bin. The smallest value starts none.
 
-    An edge is the smallest value whose cumulative count reaches j/max_bins of all rows;
-    a feature with few distinct values has an edge at each of them.
+    An edge is the smallest value whose cumulative count reaches j/max_bins of all rows, exactly;
+    a feature with at most ``max_bins`` distinct values has an edge at each of them. The counts are
+    first added up in buckets of near values; only buckets that hold an edge, fewer than
+    ``max_bins + 1`` per feature, are then put in order value by value. No window sees more rows than
+    a feature has buckets, or a bucket has values (2**12 for 32-bit floats).
     """
-    counts = value_counts(df, features, bits)
-    order = Window.partitionBy("pos").orderBy("value")
+    counts = value_counts(df, features).withColumn("bucket", bucket(F.col("value")))
+    order = Window.partitionBy("pos").orderBy("bucket")
     whole = Window.partitionBy("pos")
-    ranked = counts.select(
+    sums = counts.groupBy("pos", "bucket").agg(F.sum("n").alias("n"), F.count("*").alias("values"))
+    ranked = sums.select(
         "pos",
-        "value",
-        F.sum("n").over(order).alias("cum"),
-        (F.sum("n").over(order) - F.col("n")).alias("prev"),
+        "bucket",
+        (F.sum("n").over(order) - F.col("n")).alias("before"),
+        F.sum("n").over(order).alias("upto"),
         F.sum("n").over(whole).alias("total"),
-        F.count("*").over(whole).alias("distinct"),
-    )
-    reached = F.least(F.expr(f"cum * {max_bins} div total"), F.lit(max_bins - 1))
-    passed = F.expr(f"prev * {max_bins} div total")
-    few = F.col("distinct") <= max_bins
-    return ranked.filter((F.col("prev") > 0) & (few | (reached > passed))).select(
-        "pos", F.col("value").alias("edge")
+        (F.sum("values").over(whole) <= max_bins).alias("few"),
     )
+    cut = ranked.filter(f"few or upto * {max_bins} div total > before * {max_bins} div total").drop("upto")
+    inside = Window.partitionBy("pos", "bucket").orderBy("value")
+    values = counts.join(F.broadcast(cut), ["pos", "bucket"]).withColumn("cum", F.sum("n").over(inside) + F.col("before"))
+    prev = values.withColumn("prev", F.col("cum") - F.col("n"))
+    reached = f"least(cum * {max_bins} div total, {max_bins - 1}) > prev * {max_bins} div total"
+    return prev.filter(f"prev > 0 and (few or {reached})").select("pos", F.col("value").alias("edge"))
 
 
 @dataclass(frozen=True)
@@ -94,8 +96,9 @@ class Binner:
         return (self.stride + 63) // 64
 
     @property
-    def code_limit_exceeded(self) -> bool:
-        return self.n_features * self.stride > 1 << 15
+    def code_type(self) -> str:
+        """The smallest type that holds every code."""
+        return "smallint" if self.n_features * self.stride <= 1 << 15 else "int"
 
     @classmethod
     def fit(
@@ -116,7 +119,7 @@ class Binner:
         )
 
     def transform(self, df: DataFrame, keep: list[Column | str] = ()) -> DataFrame:
-        """``keep`` columns plus ``codes`` (array of smallint, in feature order)."""
+        """``keep`` columns plus ``codes`` (array of ``code_type``, in feature order)."""
         cut = [(c, e) for c, e in zip(self.numeric, self.edges) if e]
         nan = F.lit(float("nan"))
         # The columns to bin sit beside the kept ones under names of their own.
@@ -137,6 +140,6 @@ class Binner:
             missing = F.isnan(f"_v_{c}")
             bins.append(F.when(missing, 0).otherwise(F.col(f"_b_{c}") + 1 if e else F.lit(1)))
         bins += [F.coalesce(F.col(f"_v_{c}") + 1, F.lit(0)) for c in self.categorical]
-        codes = F.array(*[(b + f * self.stride).cast("smallint") for f, b in enumerate(bins)])
+        codes = F.array(*[(b + f * self.stride).cast(self.code_type) for f, b in enumerate(bins)])
         kept = [c for c in work.columns if not c.startswith(("_v_", "_b_"))]
         return work.select(*kept, codes.alias("codes"))

@@ -34,10 +34,9 @@ def test_metrics(scored: DataFrame, train_mean: float | Column, label: str = "ti
 
 
 def with_train_mean(df: DataFrame, label: str = "tip_pct") -> DataFrame:
-    """Test rows with the train split's mean target beside them (a one-row broadcast)."""
-    mean = df.filter("split = 'train'").agg(F.avg(label).alias("train_mean"))
-    test = df.filter("split = 'test'").withColumn("_one", F.lit(1))
-    return test.join(F.broadcast(mean.withColumn("_one", F.lit(1))), "_one").drop("_one")
+    """Test rows with the train split's mean target beside them, a scalar subquery."""
+    mean = df.filter("split = 'train'").agg(F.avg(label))
+    return df.filter("split = 'test'").withColumn("train_mean", mean.scalar())
 
 
 def baseline_rmse(df: DataFrame, label: str = "tip_pct") -> DataFrame:

@@ -106,15 +106,10 @@ def zone_mean(src: str, tag: str) -> str:
   from {src} t cross join {tag}_mean left join {tag}_zone on PULocationID = z where split = 'test')"""
 
 
-def compact(v: str) -> str:
-    scale = f"pow(2e0, 11e0 - floor(log2(abs({v}))))"
-    return f"case when {v} = 0 then 0e0 else floor({v} * {scale} + 0.5e0) / {scale} end"
-
-
 def edge_ctes(features: list[str], bins: int) -> str:
     """CTE ``edges`` (pos, edge) from CTE ``train``."""
     union = " union all ".join(
-        f"select {i} as pos, {compact(f'cast({f32(c)} as double)')} as v from train"
+        f"select {i} as pos, cast({f32(c)} as double) as v from train"
         for i, c in enumerate(features)
     )
     return f"""
@@ -126,6 +121,22 @@ edges as (select pos, v as edge from cums where cum - n > 0 and
   (distinct_n <= {bins} or least((cum * {bins}) // total, {bins - 1}) > ((cum - n) * {bins}) // total))"""
 
 
+def quantile_edges(features: list[str], bins: int) -> str:
+    """CTE ``edges`` by DuckDB's own quantiles; every distinct value where there are few."""
+    union = " union all ".join(
+        f"select {i} as pos, cast({f32(c)} as double) as v from train" for i, c in enumerate(features)
+    )
+    cuts = ", ".join(f"{j / bins!r}" for j in range(1, bins))
+    return f"""
+vals as ({union}),
+per as (select pos, min(v) as low, count(distinct v) as distinct_n, quantile_disc(v, [{cuts}]) as cuts
+  from vals where v is not null group by 1),
+edges as (
+  select distinct pos, edge from (select pos, low, unnest(cuts) as edge from per where distinct_n > {bins}) where edge > low
+  union all
+  select distinct vals.pos, v from vals join per on vals.pos = per.pos where distinct_n <= {bins} and v > low)"""
+
+
 FIXED_CELLS = f"""{SPLIT}, rows_in as (
   select VendorID % 2 as slot, floor((0.15e0 - tip_pct) * 1e6) as g,
     [cast(floor(trip_distance) as int) + 1, cast(coalesce(floor(passenger_count), 0) as int),
@@ -336,10 +347,10 @@ union all select 'random', {metrics('b_scored', 'train_mean')} from b_scored""",
 select p.r_name as pu_borough, q.r_name as do_borough, count(*) as n_trips, {q6('avg(trip_distance)')} as mean_distance
 from trips left join zones p on PULocationID = p.zone_id left join zones q on DOLocationID = q.zone_id group by 1, 2""",
         "bin_edges": SPLIT
-        + f""", train as (select * from labelled where split = 'train'), {edge_ctes(NUMERIC_FEATURES, 32)}
+        + f""", train as (select * from labelled where split = 'train'), {quantile_edges(NUMERIC_FEATURES, 256)}
 select pos, {q6('edge')} as edge from edges""",
         "binned_counts": SPLIT
-        + f""", train as (select * from labelled where split = 'train'), {edge_ctes(NUMERIC_FEATURES, 32)},
+        + f""", train as (select * from labelled where split = 'train'), {edge_ctes(NUMERIC_FEATURES, 256)},
 vrows as ({" union all ".join(f"select {i} as pos, cast({f32(c)} as double) as v, null::int as code from labelled where split = 'valid'" for i, c in enumerate(NUMERIC_FEATURES))}
   union all {" union all ".join(f"select {len(NUMERIC_FEATURES) + i}, null, {CODES[c]} from labelled where split = 'valid'" for i, c in enumerate(CATEGORICAL_FEATURES))}),
 lists as (select pos, list(edge) as es from edges group by 1)

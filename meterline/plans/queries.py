@@ -264,14 +264,14 @@ def train_features(spark, d):
 
 
 def edges(spark, d):
-    e = bin_edges(train_features(spark, d), S.NUMERIC_FEATURES, max_bins=32)
+    e = bin_edges(train_features(spark, d), S.NUMERIC_FEATURES)
     return e.select("pos", q6("edge").alias("edge"))
 
 
 def binned_counts(spark, d):
     """Rows per bin when train's edges are applied to the valid split."""
     f = features_of(spark, d)
-    binner = Binner.fit(f["train"], max_bins=32)
+    binner = Binner.fit(f["train"])
     codes = binner.transform(f["valid"]).select(F.explode("codes").alias("code"))
     return codes.groupBy("code").agg(F.count("*").alias("n_rows")).select(
         F.expr(f"int(code div {binner.stride})").alias("pos"),

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from meterline import schema as S
 from meterline.operators import boosting as B
+from meterline.operators import model as model_module
 from meterline.operators.binning import Binner, bin_edges
 from meterline.operators.features import clean_and_featurize
 from meterline.operators.fit import fit, fit_final
@@ -83,7 +84,7 @@ def numpy_tree(codes, g, c, sizes, first_cat, stride):
         B.BoostConfig(max_depth=6, learning_rate=0.3, max_cat_to_onehot=5),
     ],
 )
-def test_trees_equal_brute_force(spark, small, config):
+def test_trees_equal_brute_force(spark, small, config, monkeypatch):
     binned, path = B.write_binned(spark, BINNER, small, small.limit(0), "y")
     rows = BINNER.transform(small, keep=["y", "i"]).orderBy("i").toPandas()
     y = rows["y"].to_numpy()
@@ -98,6 +99,10 @@ def test_trees_equal_brute_force(spark, small, config):
     e.best_round = 2
     scored = model.score(small, keep=["i"]).orderBy("i").toPandas()["prediction"]
     assert np.allclose(scored, pred, atol=1e-9)
+    monkeypatch.setattr(model_module, "_BLOCK_BYTES", 1)  # every tree is a block of its own
+    assert len(model._blocks()) == 3
+    blockwise = model.score(small, keep=["i"]).orderBy("i").toPandas()["prediction"]
+    assert np.allclose(blockwise, pred, atol=1e-9)
 
 
 def test_edges_are_quantiles(spark):
@@ -109,6 +114,23 @@ def test_edges_are_quantiles(spark):
     assert {e for p, e in got if p == 1} == {1.0, 2.0}
 
 
+def test_edges_are_exact_among_near_values(spark):
+    """Values alike in their leading digits are still told apart, with infinities at the ends."""
+    rng = np.random.default_rng(5)
+    v = np.r_[100_000 + rng.integers(0, 900, 5000), rng.normal(size=3000), np.inf, -np.inf].astype(float)
+    df = spark.createDataFrame([(float(x),) for x in v] + [(None,), (float("nan"),)], "v double")
+    got = {r["edge"] for r in bin_edges(df, ["v"], max_bins=16).collect()}
+    order = np.sort(v)
+    want = {order[-(-j * len(v) // 16) - 1] for j in range(1, 16)}
+    assert got == want - {order[0]}
+
+
+def test_wide_codes(spark):
+    many = Binner(("a",), (tuple(float(i) for i in range(40_000)),), (), ())
+    df = spark.createDataFrame([(39_999.5,)], "a double")
+    assert many.code_type == "int" and many.transform(df).first()["codes"] == [40_001]  # 0 is missing
+
+
 def test_bins_of_missing_and_extremes(spark):
     df = spark.createDataFrame(
         [(None, float("nan"), None, None), (-9.0, 0.5, 0, 3), (99.0, 0.49, 264, 0), (2.0, 0.6, 5, 1)],
