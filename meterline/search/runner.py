@@ -26,6 +26,19 @@ class SearchResult:
     n_trials: int
     trials: DataFrame
     reports: DataFrame
+    first_trial: int = 0
+
+    def of_run(self) -> SearchResult:
+        """Best trial and count among the trials of this run, without those the study held before."""
+        own = F.col("trial_id") >= self.first_trial
+        return _result(self.trials.filter(own), self.reports.filter(own), self.first_trial)
+
+
+def _result(trials: DataFrame, reports: DataFrame, first_trial: int) -> SearchResult:
+    best = best_trial(reports).first()
+    config = trials.filter(F.col("trial_id") == best["trial_id"]).first()
+    chosen = {p.name: config[p.name] for p in SPACE}
+    return SearchResult(chosen, best["best_rmse"], best["n_trials"], trials, reports, first_trial)
 
 
 class _Wave:
@@ -85,9 +98,12 @@ def run(
     """Searches for the config of lowest validation error.
 
     The feature tables are binned and written once; all trials read that table. A study
-    that exists in ``store`` goes on where it ended. ``overrides`` pins parameters.
+    that exists in ``store`` goes on where it ended. ``overrides`` pins parameters. The result
+    ranks the whole study; its ``of_run`` ranks this run's trials.
     """
     spark = train.sparkSession
+    if valid.isEmpty():
+        raise ValueError("no validation rows to rank trials by")
     binner = Binner.fit(train, max_bins=max_bins)
     binned, path = write_binned(spark, binner, train, valid)
     trial_rows: list[tuple] = []
@@ -142,8 +158,4 @@ def run(
         drop_path(spark, path)
     trials = spark.createDataFrame(trial_rows, TRIALS)
     reports = spark.createDataFrame(report_rows, REPORTS)
-    best = best_trial(reports).first()
-    config = trials.filter(F.col("trial_id") == best["trial_id"]).first()
-    return SearchResult(
-        {p.name: config[p.name] for p in SPACE}, best["best_rmse"], best["n_trials"], trials, reports
-    )
+    return _result(trials, reports, first_new)

@@ -93,5 +93,10 @@ def test_search_prunes_resumes_and_repeats(spark, tables, tmp_path):
     assert a == pytest.approx(b, abs=1e-12)
     more = runner.run(*tables, n_trials=1, store=store, study="a", **options)
     assert more.n_trials == 5
+    own = more.of_run()
+    assert own.n_trials == 1 and [r["trial_id"] for r in own.trials.collect()] == [4]
+    assert own.best_rmse >= more.best_rmse
+    with pytest.raises(ValueError, match="no validation rows"):
+        runner.run(tables[0], tables[1].limit(0), n_trials=1, **options)
     assert store.trials(spark, "a").count() == 5 and store.trials(spark, "none").count() == 0
     assert set(more.best_config) == {p.name for p in SPACE}
