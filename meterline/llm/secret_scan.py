@@ -1,8 +1,12 @@
 """Secret scan: fixed patterns, and strings that a primed compressor cannot shorten.
 
 The fixed patterns give ``assign``, ``access`` and ``hex`` spans. The method adds ``novel`` spans:
-a candidate is a run of 16 or more key characters with both letters and digits that stands after a
-sensitive word on its line (or in the line before). Its novelty is what it adds to a zstandard
+a candidate is a run of 16 or more key characters with both letters and digits in sensitive context:
+a sensitive word stands on its line, on the line with text before or after it, or within ``NEAR``
+characters before it. Runs with no word between them (lines of a key, segments of a token) and all
+runs between a BEGIN and its END share their context, however many they are. If a run between BEGIN
+and END is reported, so are the others there, the short last one too. A candidate's novelty is what
+it adds to a zstandard
 frame: the size of (text around it + candidate) less the size of the text around it alone, with a
 dictionary of identifiers and the surrounding text as the primer. Words, paths and identifiers the
 primer knows add next to nothing; random strings add nearly their entropy. Candidates that add at
@@ -16,6 +20,7 @@ characters on both sides, whatever the text's length. Repeated rows are each ret
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import zstandard
@@ -92,29 +97,115 @@ def fixed_spans(text: str) -> list[tuple[str, int, int]]:
 _LOWER = {c: c + 32 for c in range(0x41, 0x5B)}
 
 
-def _sensitive(text: str, start: int) -> bool:
-    before = text[max(0, start - NEAR) : start].lower()
-    return any(w in before for w in SENSITIVE)
+#: What may stand between runs of one key or token: no word, but escapes of line ends.
+GAP = re.compile(r"(?:\\[nrt]|[\W_])*")
+LINE = re.compile(r"[^\r\n]+")
+MARKER = re.compile(r"-{4,5} ?(BEGIN|END) ([A-Za-z0-9 ]+?) ?-{4,5}")
+BODY = re.compile(r"[A-Za-z0-9+/=]+")
+
+
+class _Context:
+    """Where sensitive words stand in a text, by lines that are not blank."""
+
+    def __init__(self, text: str):
+        self.text = text
+        self.lines = [m.span() for m in LINE.finditer(text) if not m.group().isspace()]
+        self.starts = [a for a, _ in self.lines]
+        self.seen: dict[int, bool] = {}
+
+    def _line(self, k: int) -> bool:
+        if not 0 <= k < len(self.lines):
+            return False
+        if k not in self.seen:
+            a, b = self.lines[k]
+            self.seen[k] = _sensitive(self.text[a:b])
+        return self.seen[k]
+
+    def __call__(self, at: int) -> bool:
+        k = bisect_right(self.starts, at) - 1
+        return self._line(k) or self._line(k - 1) or self._line(k + 1) or _sensitive(self.text[max(0, at - NEAR) : at])
+
+
+def _sensitive(text: str) -> bool:
+    low = text.lower()
+    return any(w in low for w in SENSITIVE)
+
+
+def _blocks(text: str) -> list[tuple[int, int, int]]:
+    """``(marker, start, end)`` of what stands between a BEGIN and the END of the same name."""
+    out, begin = [], None
+    for m in MARKER.finditer(text) if "BEGIN" in text else ():
+        if m.group(1) == "BEGIN":
+            begin = m
+        elif begin is not None and begin.group(2) == m.group(2):
+            out.append((begin.start(), begin.end(), m.start()))
+            begin = None
+    return out
+
+
+def _in_context(text: str, runs: list[tuple[int, int]], blocks: list[tuple[int, int, int]]) -> list[bool]:
+    """Whether each run is in sensitive context, by itself or by the runs it belongs to."""
+    context, out, held = _Context(text), [], []
+    last, at, found = None, 0, False
+    for a, b in runs:
+        while at < len(blocks) and blocks[at][2] <= a:
+            at += 1
+        block = at if at < len(blocks) and blocks[at][1] < b else None
+        joined = last is not None and (block is not None and block == last[1] or GAP.fullmatch(text, last[0], a))
+        if not joined:
+            out += [found] * len(held)
+            held, found = [], False
+        found = found or context(a) or block is not None and context(blocks[block][0])
+        held.append(a)
+        last = b, block
+    return out + [found] * len(held)
+
+
+class _Taken:
+    """Spans already reported, merged, to ask what overlaps them."""
+
+    def __init__(self, spans):
+        self.starts, self.ends = [], []
+        for a, b in sorted(spans):
+            if self.ends and a <= self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], b)
+            else:
+                self.starts.append(a)
+                self.ends.append(b)
+
+    def __call__(self, start: int, end: int) -> bool:
+        k = bisect_left(self.starts, end) - 1
+        return k >= 0 and self.ends[k] > start
+
+
+def _mixed(own: str) -> bool:
+    return any(c.isdigit() for c in own) and any(c.isalpha() for c in own)
 
 
 def novel_spans(text: str, fixed: list[tuple[str, int, int]], novelty: Novelty, least: float = NOVELTY):
     """``(start, end, novelty)`` of incompressible strings in sensitive context."""
-    out = []
-    taken = sorted((a, b) for _, a, b in fixed)
-    at = 0
-    for m in CANDIDATE.finditer(text):
-        start, end = m.span()
-        own = m.group()
-        if own.isalpha() or own.isdigit() or not any(c.isdigit() for c in own) or not any(c.isalpha() for c in own):
-            continue
-        while at < len(taken) and taken[at][1] <= start:
-            at += 1
-        if any(a < end and b > start for a, b in taken[at : at + 3]) or not _sensitive(text, start):
+    runs = [m.span() for m in CANDIDATE.finditer(text)]
+    if not any(_mixed(text[a:b]) for a, b in runs):
+        return []
+    blocks = _blocks(text)
+    taken = _Taken((a, b) for _, a, b in fixed)
+    found = {}
+    for (start, end), sensitive in zip(runs, _in_context(text, runs, blocks), strict=True):
+        if not sensitive or taken(start, end) or not _mixed(text[start:end]):
             continue
         worth = novelty(text, start, end)
         if worth >= least:
-            out.append((start, end, worth))
-    return out
+            found[start, end] = worth
+    if found and blocks:
+        own = _Taken(found)
+        for _, start, end in blocks:
+            if own(start, end):
+                for line in LINE.finditer(text, start, end):
+                    if ":" not in line.group():
+                        for m in BODY.finditer(text, *line.span()):
+                            if not own(*m.span()) and not taken(*m.span()):
+                                found[m.span()] = novelty(text, *m.span())
+    return [(a, b, worth) for (a, b), worth in sorted(found.items())]
 
 
 def _join(spans) -> str:
