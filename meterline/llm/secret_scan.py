@@ -14,7 +14,9 @@ least ``NOVELTY`` bytes a character, and don't overlap a fixed span, are reporte
 
 Defined cases: null text is empty; an empty text has no spans. Positions are code points, ends
 exclusive. Texts are scanned whole; the primer of a candidate is the text within ``AROUND``
-characters on both sides, whatever the text's length. Repeated rows are each returned.
+characters on both sides, whatever the text's length, less other copies of the candidate. Every
+place of a string found novel is reported, with or without a sensitive word. Repeated rows are each
+returned.
 """
 
 from __future__ import annotations
@@ -61,7 +63,9 @@ IDENTIFIERS = (
     "abcdefghijklmnopqrstuvwxyz 00000000000000000000 sha256 sha1 md5 base64 utf-8 uuid version release"
 )
 #: A candidate's characters, its least length, the text around it, the novelty it needs.
+LEAST = 16
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+PART = re.compile(r"[A-Za-z0-9+_-]{16,}=*")
 AROUND = 512
 NEAR = 96
 NOVELTY = 0.6
@@ -78,10 +82,37 @@ class Novelty:
         return len(self.compressor.compress(text.encode("utf-8", "surrogatepass")))
 
     def __call__(self, text: str, start: int, end: int) -> float:
-        around = text[max(0, start - AROUND) : start] + text[end : end + AROUND]
+        own = {text[a:b] for a, b in _parts(text, start, end)}
+        around = _without(text, max(0, start - AROUND), start, own) + _without(text, end, end + AROUND, own)
         return (self.size(around + text[start:end]) - self.size(around)) / (end - start)
 
 
+def _parts(text: str, start: int, end: int) -> list[tuple[int, int]]:
+    """The string and what it holds between = and / that is long enough to be a candidate by itself."""
+    parts = [m.span() for m in PART.finditer(text, start, end) if _mixed(m.group())]
+    return [(start, end), *(p for p in parts if p != (start, end))]
+
+
+def _without(text: str, start: int, end: int, strings: set[str]) -> str:
+    """``text[start:end]`` less all that belongs to one of the strings, also if the ends cut it."""
+    end = min(end, len(text))
+    cuts = []
+    for own in strings:
+        # Strings end where key characters end, so none reaches over to what the window adjoins.
+        at = text.find(own, max(0, start - len(own) + 1), min(len(text), end + len(own) - 1))
+        while at >= 0:
+            cuts.append((at, at + len(own)))
+            at = text.find(own, at + len(own), min(len(text), end + len(own) - 1))
+    if not cuts:
+        return text[start:end]
+    out, last = [], start
+    for a, b in sorted(cuts):
+        if a > last:
+            out.append(text[last : min(a, end)])
+        last = max(last, b)
+    return "".join([*out, text[last:end]])
+
+
 def fixed_spans(text: str) -> list[tuple[str, int, int]]:
     """Spans of the fixed patterns, by start, then kind."""
     out = []
@@ -205,9 +236,33 @@ def novel_spans(text: str, fixed: list[tuple[str, int, int]], novelty: Novelty,
                         for m in BODY.finditer(text, *line.span()):
                             if not own(*m.span()) and not taken(*m.span()):
                                 found[m.span()] = novelty(text, *m.span())
+    # Other places of a string found, or of a part of it that is novel by itself, are reported too.
+    known: dict[str, float] = {}
+    for (start, end), worth in list(found.items()):
+        for a, b in _parts(text, start, end) if end - start >= LEAST else ():
+            own = worth if (a, b) == (start, end) else novelty(text, a, b)
+            if own >= least:
+                known[text[a:b]] = max(own, known.get(text[a:b], 0.0))
+    found |= _again(text, [r for r in runs if r not in found], known, taken)
     return [(a, b, worth) for (a, b), worth in sorted(found.items())]
 
 
+def _again(text: str, runs: list[tuple[int, int]], known: dict[str, float], taken: _Taken) -> dict[tuple[int, int], float]:
+    """Where the known strings stand in the runs, the longest first; looked up by how they begin."""
+    begin: dict[str, list[str]] = {}
+    for own in sorted(known, key=len, reverse=True):
+        begin.setdefault(own[:LEAST], []).append(own)
+    out = {}
+    for at, end in runs if begin else ():
+        while at + LEAST <= end:
+            here = (x for x in begin.get(text[at : at + LEAST], ()) if at + len(x) <= end and text.startswith(x, at))
+            own = next((x for x in here if not taken(at, at + len(x))), None)
+            if own:
+                out[at, at + len(own)] = known[own]
+            at += len(own) if own else 1
+    return out
+
+
 def _join(spans) -> str:
     return ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
 

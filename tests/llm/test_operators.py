@@ -389,6 +389,23 @@ def test_novel_secrets_by_lines():
     assert novel_strings(f"passphrase\n{filler}\n{filler} {key}\n{filler}") == []
 
 
+def test_novel_secrets_that_repeat():
+    rng = random.Random(13)
+    key = random_key(rng, 32)
+    assert novel_strings(f'the token is "{key}"\ncall with "{key}" as token, not {key}') == [key] * 3
+    assert novel_strings(f'the token is "{key}"' + "\nno word that tells" * 40 + f"\nlink {key}") == [key] * 2
+    # As parts of unlike strings, and next to one that a fixed pattern takes.
+    assert novel_strings(f"the token is in ?a={key} and ?b={key}") == [f"a={key}", f"b={key}"]
+    assert novel_strings(f"the token is in ?a={key}" + "\nno word that tells" * 9 + f"\n{key}") == [f"a={key}", key]
+    assert novel_strings(f'password = "{key}"\nconnect("{key}")') == [key]
+    # A copy that the window cuts is no primer either.
+    for n in (480, 500, 511):
+        assert novel_strings(f"token {key} " + "x " * (n // 2) + key) == [key] * 2
+    name = "example_session_name_default_value_01"
+    text = "the session token name has a default value"
+    assert novel_strings(f"{text} {name} or {text} {name}") == []
+
+
 def test_skip_chain_agrees_over_a_document():
     rng = random.Random(5)
     number = lambda: "".join(rng.choice("0123456789") for _ in range(10))
