@@ -32,8 +32,8 @@ LICENSES = (
     ("mit-0", "mit (?:no attribution|0)", "mit"),
     ("apache-1.1", "apache (?:software )?(?:license )?(?:version )?1 1", "apache"),
     ("apache-2", "apache (?:software )?(?:license )?(?:version |v)?2(?: 0)?", "apache"),
-    ("gpl-2", "(?:gnu )?(?:general public license|gpl) (?:version |v)?2(?: 0)?", "gnu"),
-    ("gpl-2", "gpl (?:version |v)?2(?: 0)?", "gpl"),
+    ("gpl-2", "(?:gnu )?(?<!affero )(?<!lesser )(?<!library )general public license (?:version |v)?2(?: 0)?", "general"),
+    ("gpl-2", "(?:gnu )?gpl (?:version |v)?2(?: 0)?", "gpl"),
     ("gpl-2", "gplv2", "gplv2"),
     ("gpl-3", "gnu (?:general public license|gpl) (?:version |v)?3(?: 0)?", "gnu"),
     ("gpl-3", "gpl (?:version |v)?3(?: 0)?", "gpl"),
@@ -44,11 +44,13 @@ LICENSES = (
     ("lgpl-3", "lgpl (?:version |v)?3(?: 0)?", "lgpl"),
     ("agpl-3", "gnu affero general public license (?:version |v)?3(?: 0)?", "affero"),
     ("agpl-3", "agpl (?:version |v)?3(?: 0)?", "agpl"),
-    ("bsd-2", "(?:bsd 2 clause|2 clause bsd|simplified bsd|freebsd)", "clause"),
+    ("bsd-2", "(?:bsd 2 clause|2 clause bsd)", "clause"),
+    ("bsd-2", "freebsd", "freebsd"),
     ("bsd-2", "(?:simplified bsd|bsd 2)", "bsd"),
     ("bsd-3", "(?:bsd 3 clause|3 clause bsd|modified bsd|new bsd|revised bsd)", "bsd"),
     ("bsd-4", "(?:bsd 4 clause|4 clause bsd|original bsd)", "bsd"),
-    ("0bsd", "(?:0bsd|bsd zero clause|zero clause bsd)", "0bsd"),
+    ("0bsd", "0bsd", "0bsd"),
+    ("0bsd", "(?:bsd zero clause|zero clause bsd)", "zero"),
     ("isc", "isc", "isc"),
     ("mpl-1.1", "mozilla public license (?:version |v)?1 1", "mozilla"),
     ("mpl-2", "mozilla public license (?:version |v)?2(?: 0)?", "mozilla"),
@@ -65,13 +67,14 @@ LICENSES = (
     ("postgresql", "postgresql", "postgresql"),
     ("psf-2", "python software foundation", "python"),
     ("unlicense", "(?:the )?unlicense", "unlicense"),
-    ("wtfpl", "(?:wtfpl|do what the fuck you want to public license)", "wtfpl"),
+    ("wtfpl", "wtfpl", "wtfpl"),
+    ("wtfpl", "do what the fuck you want to public license", "fuck"),
     ("ms-pl", "microsoft public license", "microsoft"),
     ("ms-rl", "microsoft reciprocal license", "microsoft"),
     ("odbl", "open database license", "database"),
     ("odc-by", "open data commons attribution license", "commons"),
     ("pddl", "public domain dedication and license", "dedication"),
-    ("cc0", "(?:cc0|cc zero|creative commons zero)", "cc0"),
+    ("cc0", "cc0", "cc0"),
     ("cc0", "(?:cc zero|creative commons zero)", "zero"),
     ("cc-by", "cc by", "cc"),
     ("cc-by-sa", "cc by sa", "cc"),

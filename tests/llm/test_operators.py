@@ -137,6 +137,55 @@ def test_licenses(some):
         assert 0 <= r["score"] <= 1
 
 
+def alternatives(parsed):
+    """All strings of a regular expression without open repeats; look-arounds count as empty."""
+    out = [""]
+    for op, arg in parsed:
+        name = str(op)
+        if name == "LITERAL":
+            part = [chr(arg)]
+        elif name == "IN":
+            part = [chr(x) for _, x in arg]
+        elif name == "BRANCH":
+            part = [x for branch in arg[1] for x in alternatives(branch)]
+        elif name == "SUBPATTERN":
+            part = alternatives(arg[-1])
+        elif name == "MAX_REPEAT":
+            assert arg[:2] == (0, 1)
+            part = ["", *alternatives(arg[2])]
+        else:
+            assert name == "ASSERT_NOT"
+            part = [""]
+        out = [a + b for a in out for b in part]
+    return out
+
+
+def test_license_keywords_are_in_every_alternative():
+    for label, name, key in licenses.LICENSES:
+        for x in alternatives(re._parser.parse(name)):
+            assert key in x.split(), (label, x)
+    for (phrase, _), rule in zip(licenses.PHRASES, licenses.rule_table()):
+        assert rule["keyword"] in phrase.split()
+
+
+def test_licenses_by_each_name(spark):
+    rows = {
+        "licensed under the BSD Zero Clause License": "0bsd",
+        "Zero-Clause BSD": "0bsd",
+        "under the FreeBSD license": "bsd-2",
+        "Do What The Fuck You Want To Public License": "wtfpl",
+        "General Public License, version 2": "gpl-2",
+        "licensed under the GNU General Public License v2.0": "gpl-2",
+        "GNU GPL version 2": "gpl-2",
+        "GNU Lesser General Public License version 2.1": "lgpl-2.1",
+        "Lesser General Public License version 2.1": "",
+        "Creative Commons Zero": "cc0",
+    }
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = {r["doc_id"]: r["labels"] for r in licenses.label_digests(df).collect()}
+    assert [got[k] for k in range(len(rows))] == list(rows.values())
+
+
 def test_pii(some):
     for t, r in paired(some, pii.scan_digests(some)):
         base = brute_pii(t or "")
