@@ -136,7 +136,7 @@ def normalised(text: Column) -> Column:
     """Words joined by single spaces, with a space at both ends."""
     upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
     low = F.translate(F.coalesce(text, F.lit("")), upper, lower)
-    return F.concat(F.lit(" "), F.regexp_replace(F.concat(low, F.lit(".")), SEPARATORS, " "))
+    return F.regexp_replace(F.concat(F.lit("."), low, F.lit(".")), SEPARATORS, " ")
 
 
 def _spaces(s: Column) -> Column:

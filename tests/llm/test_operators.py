@@ -137,6 +137,16 @@ def test_licenses(some):
         assert 0 <= r["score"] <= 1
 
 
+def test_licenses_of_texts_that_start_with_a_separator(spark):
+    texts = ["(foo bar", "+1 (168) 555", " \n# under the MIT license.", '"cc by-nc"', "--", "", "a", "under the MIT license"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in licenses.label_digests(df).collect():
+        got = (r["n_words"], r["n_base"], r["first_word"], r["last_word"], r["base_labels"])
+        assert got == brute_licenses(texts[r["doc_id"]]), texts[r["doc_id"]]
+    for r in licenses.detect(df.filter("doc_id = 2")).collect():
+        assert [(x["start"], x["end"], x["label"]) for x in r["found"]] == [(0, 4, "mit")]
+
+
 def alternatives(parsed):
     """All strings of a regular expression without open repeats; look-arounds count as empty."""
     out = [""]
