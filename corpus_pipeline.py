@@ -5,7 +5,8 @@ result is written as Parquet in the shared scratch folder and read again as the
 Stages keep the columns of ``documents``; the last returns token counts and digests by document.
 
 Defined cases: null and empty texts fail the quality rules and go. Rows that repeat id and text stay
-once. Rows without an id stay where only an id could name them. An empty table gives an empty result.
+once. Rows are named by id and text, so rows of one id or of none are each decided on by their own
+text. An empty table gives an empty result.
 """
 
 from __future__ import annotations

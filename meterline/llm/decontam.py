@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .textops import _PLACE, bit_table, map_rows, mix, word_hashes, write_table
+from .textops import _PLACE, bit_table, map_rows, mix, text_key, word_hashes, write_table
 
 #: The masks; each selects seven words.
 MASKS = ("1111111", "1101011011", "110010110011", "1010011001011")
@@ -83,7 +83,7 @@ def _region_step(table, shortest: int):
 
     def step(rows: Iterator[tuple]) -> Iterator[tuple]:
         bits = table.value
-        for doc_id, text in rows:
+        for doc_id, key, text in rows:
             words = word_hashes(text)
             found_at, found = [], []
             for mask, salt in masks:
@@ -109,6 +109,7 @@ def _region_step(table, shortest: int):
                 name = mix(part * np.uint64(3) + np.arange(len(part), dtype=np.uint64)).sum(dtype=np.uint64)
                 yield (
                     doc_id,
+                    key,
                     start,
                     int(np.uint64(name).astype(np.int64)),
                     part.tobytes(),
@@ -141,12 +142,8 @@ def _verify_step(rows: Iterator[tuple]) -> Iterator[tuple]:
             yield region, item_id, matched, first + start, end - start, first + start + offset
 
 
-def overlaps(docs: DataFrame, items: DataFrame, id_col="doc_id", item_col="item_id", text_col="text") -> DataFrame:
-    """One row per document and benchmark item that overlap.
-
-    ``n_match`` words agree in the best stretch of ``n_words``, which begins at ``doc_word`` of the
-    document and ``item_word`` of the item.
-    """
+def _overlapping(docs: DataFrame, items: DataFrame, id_col, item_col, text_col) -> DataFrame:
+    """Every overlap found: id and key of the document, the item, and the stretch."""
     spark = docs.sparkSession
     items = items.select(F.col(item_col).cast("long").alias("item_id"), F.col(text_col).cast("string").alias("text"))
     seeds = map_rows(items, _item_step, "item_id long, seed long, at int, body binary")
@@ -157,8 +154,8 @@ def overlaps(docs: DataFrame, items: DataFrame, id_col="doc_id", item_col="item_
     sizes = seeds.filter("body is not null").agg(F.min(F.expr("length(body) div 8")).alias("n")).first()
     shortest = sizes["n"] or WEIGHT
 
-    schema = "doc_id long, start int, region long, words binary, seeds array<long>, places array<int>"
-    own = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string"))
+    schema = "doc_id long, key long, start int, region long, words binary, seeds array<long>, places array<int>"
+    own = docs.select(F.col(id_col).cast("long"), text_key(F.col(text_col)).alias("key"), F.col(text_col).cast("string"))
     regions = map_rows(own, _region_step(table, shortest), schema)
     regions = write_table(regions, scratch_path(spark, "decontam-regions"))
 
@@ -181,10 +178,18 @@ def overlaps(docs: DataFrame, items: DataFrame, id_col="doc_id", item_col="item_
         _verify_step,
         "region long, item_id long, n_match int, item_word int, n_words int, at int",
     )
+    return regions.select("doc_id", "key", "start", "region").join(verified, "region")
+
+
+def overlaps(docs: DataFrame, items: DataFrame, id_col="doc_id", item_col="item_id", text_col="text") -> DataFrame:
+    """One row per document and benchmark item that overlap.
+
+    ``n_match`` words agree in the best stretch of ``n_words``, which begins at ``doc_word`` of the
+    document and ``item_word`` of the item.
+    """
     best = F.max(F.struct("n_match", (-F.col("n_words")).alias("m"), (-F.col("w")).alias("w"), (-F.col("item_word")).alias("i")))
     return (
-        regions.select("doc_id", "start", "region")
-        .join(verified, "region")
+        _overlapping(docs, items, id_col, item_col, text_col)
         .withColumn("w", F.col("start") + F.col("at"))
         .groupBy("doc_id", "item_id")
         .agg(best.alias("best"))
@@ -200,6 +205,7 @@ def overlaps(docs: DataFrame, items: DataFrame, id_col="doc_id", item_col="item_
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """Documents that overlap no benchmark item."""
-    bad = overlaps(docs, items).select(F.col("doc_id").alias("_bad")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["_bad"]), "left_anti")
+    """Documents that overlap no benchmark item; rows of one id, or of none, each by its own text."""
+    bad = _overlapping(docs, items, "doc_id", "item_id", "text").select("doc_id", "key").distinct().toDF("_bad", "_bad_key")
+    same = docs["doc_id"].eqNullSafe(bad["_bad"]) & (text_key(docs["text"]) == bad["_bad_key"])
+    return docs.join(bad, same, "left_anti")

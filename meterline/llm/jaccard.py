@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import drop_path, scratch_path
-from .textops import bit_table, map_rows, mix, shingles, word_hashes, write_table
+from .textops import bit_table, map_rows, mix, shingles, text_key, word_hashes, write_table
 
 #: Words per shingle and the least similarity in percent.
 WIDTH = 5
@@ -102,13 +102,13 @@ def _scan_step(width: int, sketch_bits: int, block: int):
         cell = (every[first[often]] >> np.uint64(64 - sketch_bits)).astype(np.int64)
         cells, at = np.unique(cell, return_inverse=True)
         for c, k in zip(cells.tolist(), np.bincount(at, count[often]).astype(np.int64).tolist(), strict=True):
-            yield 1, c, None, k
+            yield 1, c, None, k, None
 
     def step(rows: Iterator[tuple]) -> Iterator[tuple]:
         held, size = [], 0
-        for doc_id, text in rows:
+        for doc_id, key, text in rows:
             own = shingle_set(text, width)
-            yield 0, doc_id, class_id(own), len(own)
+            yield 0, doc_id, class_id(own), len(own), key
             if len(own):
                 held.append(own)
                 size += len(own)
@@ -242,6 +242,8 @@ class JaccardJoin:
         self.docs = docs.select(
             F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")
         )
+        # Rows are told apart by id and text.
+        self.keyed = self.docs.select("doc_id", text_key("text").alias("key"), "text")
         self.width, self.percent = width, percent
         self.far = 1.0 - percent / 100.0
         self._written: list[str] = []
@@ -258,9 +260,9 @@ class JaccardJoin:
         return 100 * shared >= self.percent * (a + b - shared)
 
     def _scan(self) -> None:
-        schema = "kind int, id long, cls long, n long"
-        both = self._save(map_rows(self.docs, _scan_step(self.width, SKETCH_BITS, SKETCH_BLOCK), schema), "scan")
-        self.members = both.filter("kind = 0").select(F.col("id").alias("doc_id"), "cls", "n")
+        schema = "kind int, id long, cls long, n long, key long"
+        both = self._save(map_rows(self.keyed, _scan_step(self.width, SKETCH_BITS, SKETCH_BLOCK), schema), "scan")
+        self.members = both.filter("kind = 0").select(F.col("id").alias("doc_id"), "key", "cls", "n")
         cells = both.filter("kind = 1").groupBy("id").agg(F.sum("n").alias("n")).toArrow()
         sketch = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
         sketch[cells["id"].to_numpy()] = cells["n"].to_numpy()
@@ -450,16 +452,26 @@ class JaccardJoin:
             out = out.unionByName(more)
         return out
 
-    def components(self) -> DataFrame:
-        """``doc_id, n_shingles, component_id`` per row of the documents."""
+    def _named(self) -> DataFrame:
+        """Members with words, each with the first row (smallest id, then key) of its component."""
         root = connected(self.links(), lambda df: self._save(df, "star"))
-        first = self.members.filter("n > 0").groupBy("cls").agg(F.min("doc_id").alias("first_id"))
+        # Null ids come last, so an id names the component if there is one.
+        row = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "key")
+        first = self.members.filter("n > 0").groupBy("cls").agg(F.min(row).alias("first"))
         rooted = first.join(root.withColumnRenamed("node", "cls"), "cls", "left")
         rooted = rooted.withColumn("root", F.coalesce("root", "cls"))
-        least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-        labels = rooted.join(least, "root").select("cls", "component_id")
-        named = self.members.filter("n > 0").join(labels, "cls")
-        out = named.select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+        least = rooted.groupBy("root").agg(F.min("first").alias("least"))
+        labels = rooted.join(least, "root").select("cls", "least")
+        return self.members.filter("n > 0").join(labels, "cls")
+
+    def copies(self) -> DataFrame:
+        """Id and key of the rows that are not the first of their component."""
+        first = F.col("doc_id").eqNullSafe(F.col("least.doc_id")) & (F.col("key") == F.col("least.key"))
+        return self._named().filter(~first).select("doc_id", "key").distinct()
+
+    def components(self) -> DataFrame:
+        """``doc_id, n_shingles, component_id`` per row of the documents."""
+        out = self._named().select("doc_id", F.col("n").alias("n_shingles"), F.col("least.doc_id").alias("component_id"))
         alone = self.members.filter("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))
         return out.unionByName(alone)
 
@@ -502,9 +514,11 @@ def components(docs: DataFrame, **options) -> DataFrame:
 def keep_first(docs: DataFrame, **options) -> DataFrame:
     """One document of each component, that of the smallest id; documents without words all stay.
 
-    Rows that repeat both id and text stay once. Rows without an id can't be named and stay.
+    Rows that repeat both id and text stay once. A row is named by its id and its text: texts of one
+    id are decided on each by itself (the first by hash stays of those in one component), and rows
+    without an id stay if their component has no other row before them.
     """
-    found = components(docs, **options)
-    copies = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("_copy")).distinct()
-    kept = docs.join(copies, docs["doc_id"] == copies["_copy"], "left_anti")
+    copies = JaccardJoin(docs, **options).copies().toDF("_copy", "_copy_key")
+    same = docs["doc_id"].eqNullSafe(copies["_copy"]) & (text_key(docs["text"]) == copies["_copy_key"])
+    kept = docs.join(copies, same, "left_anti")
     return kept.dropDuplicates(["doc_id", "text"])

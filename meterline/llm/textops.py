@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Words end at ASCII white space: space and \x09 to \x0D.
@@ -40,6 +40,11 @@ def thinned(df: DataFrame, limit: int, *key: str) -> DataFrame:
     return df.filter(u < F.lit(rate))
 
 
+def text_key(text: str | Column) -> Column:
+    """A hash of a text; with the id it names a row where ids repeat or are null."""
+    return F.xxhash64((F.col(text) if isinstance(text, str) else text).cast("string"))
+
+
 BATCH_ROWS = 1000
 _BATCH_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
 

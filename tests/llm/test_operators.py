@@ -322,6 +322,30 @@ def test_keep_first(spark, some):
     assert sorted(ids) == sorted(want)
 
 
+def test_keep_first_tells_texts_of_an_id_apart(spark):
+    rng = random.Random(21)
+    a, b, c, d = (" ".join(f"w{rng.randrange(10**6)}" for _ in range(60)) for _ in range(4))
+    rows = [
+        (3, a), (7, a), (7, b),
+        # The smallest id of this group is a copy elsewhere.
+        (5, d), (2, d), (5, c), (8, c), (9, c),
+        # Without an id: a text of its own, twice, and a copy.
+        (None, "a clean text without an id"), (None, "a clean text without an id"), (None, "another text, of no id"), (None, a),
+    ]
+    kept = jaccard.keep_first(odd_documents(spark, rows))
+    want = [(3, a), (7, b), (2, d), (5, c), (None, "a clean text without an id"), (None, "another text, of no id")]
+    assert collections.Counter((r["doc_id"], r["text"]) for r in kept.collect()) == collections.Counter(want)
+
+
+def test_decontamination_tells_texts_of_an_id_apart(spark):
+    item = " ".join(f"u{k}" for k in range(30))
+    items = spark.createDataFrame([(1, item)], "item_id long, text string")
+    rows = [(None, f"dirty {item}"), (None, "a clean row"), (None, None), (4, f"dirty {item}"), (4, "a clean row"), (5, "clean")]
+    left = decontam.drop_contaminated(odd_documents(spark, rows), items)
+    want = [(None, "a clean row"), (None, None), (4, "a clean row"), (5, "clean")]
+    assert collections.Counter((r["doc_id"], r["text"]) for r in left.collect()) == collections.Counter(want)
+
+
 def test_langid(spark, documents):
     found = {r["doc_id"]: r for r in queries()["op2_langid"](spark, "/root/testdata/sf0.01").collect()}
     held = [(r["lang"], found[r["doc_id"]]["lang_pred"]) for r in documents.collect() if found[r["doc_id"]]["held_out"]]
