@@ -8,9 +8,10 @@ joined with benchmark seeds on the hash, which gives alignments (region, item, o
 alignment is verified word by word: the best-scoring stretch, with a substitution costing two
 matches, must match ``MIN_MATCH`` words, or four fifths of a shorter item.
 
-Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased. Items of fewer words than the lightest mask
-selects are sought as a whole. A stretch is followed up to ``REACH`` words from its seeds; longer
-overlaps have seeds of their own and are merged.
+Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased. Items of fewer than ``SHORT`` words have lighter
+masks besides, which fit every placing of substitutions that the verification takes; runs of one
+word less are sought of 5 or 6 words, and shorter items as a whole. A stretch is followed up to
+``REACH`` words from its seeds; longer overlaps have seeds of their own and are merged.
 
 Defined cases: null or empty texts on either side match nothing. Repeated rows of an item or a
 document give one row per pair of ids. Null ids are kept as they are. Other columns are ignored.
@@ -31,6 +32,9 @@ from .textops import _PLACE, bit_table, map_rows, mix, text_key, word_hashes, wr
 #: The masks; each selects seven words.
 MASKS = ("1111111", "1101011011", "110010110011", "1010011001011")
 WEIGHT = 7
+#: Masks of items of fewer words than ``SHORT``.
+LIGHT = ("110111", "11100011")
+SHORT = 15
 #: Words that an overlap must match, and what a substitution costs in matches.
 MIN_MATCH = 12
 COST = 2
@@ -53,9 +57,19 @@ def seed_hashes(words: np.ndarray, mask: str, salt: int) -> np.ndarray:
 
 
 def all_masks() -> list[tuple[str, int]]:
-    """Masks with their salts; whole-item masks for items of fewer than ``WEIGHT`` words first."""
+    """Masks with their salts; runs of fewer than ``WEIGHT`` words first, those of short items last."""
     short = ["1" * n for n in range(1, WEIGHT)]
-    return [(m, i) for i, m in enumerate([*short, *MASKS])]
+    return [(m, i) for i, m in enumerate([*short, *MASKS, *LIGHT])]
+
+
+def masks_of(n: int) -> list[tuple[str, int]]:
+    """The masks of an item of ``n`` words."""
+    if n < WEIGHT:
+        # Of 5 and 6 words one may differ: at an end, or the third of 6. Of fewer words none.
+        run = n if n < 5 else n - 1
+        return [(m, s) for m, s in all_masks() if m == "1" * run or n == 6 and m == LIGHT[0]]
+    every = all_masks()[WEIGHT - 1 :]
+    return [(m, s) for m, s in every if len(m) <= n and (n < SHORT or m not in LIGHT)]
 
 
 def _places(seed: np.ndarray, bits: int) -> list[np.ndarray]:
@@ -66,20 +80,16 @@ def _places(seed: np.ndarray, bits: int) -> list[np.ndarray]:
 def _item_step(rows: Iterator[tuple]) -> Iterator[tuple]:
     for item_id, text in rows:
         words = word_hashes(text)
-        n = len(words)
-        if 0 < n < WEIGHT:
-            masks = [("1" * n, n - 1)]
-        else:
-            masks = [(m, s) for m, s in all_masks() if s >= WEIGHT - 1 and len(m) <= n]
+        masks = masks_of(len(words))
         body = words.tobytes()
         for mask, salt in masks:
             for at, seed in enumerate(seed_hashes(words, mask, salt).view(np.int64).tolist()):
-                yield item_id, seed, at, body if at == 0 and salt == masks[0][1] else None
+                yield item_id, salt, seed, at, body if at == 0 and salt == masks[0][1] else None
 
 
-def _region_step(table, shortest: int):
-    """Regions of a document's words around the seeds that the table passes."""
-    masks = [(m, s) for m, s in all_masks() if s >= WEIGHT - 1 or len(m) >= shortest]
+def _region_step(table, salts: set[int]):
+    """Regions of a document's words around the seeds, of the masks in use, that the table passes."""
+    masks = [(m, s) for m, s in all_masks() if s in salts]
 
     def step(rows: Iterator[tuple]) -> Iterator[tuple]:
         bits = table.value
@@ -146,17 +156,16 @@ def _overlapping(docs: DataFrame, items: DataFrame, id_col, item_col, text_col)
     """Every overlap found: id and key of the document, the item, and the stretch."""
     spark = docs.sparkSession
     items = items.select(F.col(item_col).cast("long").alias("item_id"), F.col(text_col).cast("string").alias("text"))
-    seeds = map_rows(items, _item_step, "item_id long, seed long, at int, body binary")
+    seeds = map_rows(items, _item_step, "item_id long, salt int, seed long, at int, body binary")
     seeds = write_table(seeds, scratch_path(spark, "decontam-items"))
     low = (1 << TABLE_BITS) - 1
     places = F.array(*[F.shiftrightunsigned("seed", s).bitwiseAND(F.lit(low)) for s in (0, 19, 38)[:PROBES]])
     table = spark.sparkContext.broadcast(bit_table(seeds.select(F.explode(places).alias("place")), TABLE_BITS))
-    sizes = seeds.filter("body is not null").agg(F.min(F.expr("length(body) div 8")).alias("n")).first()
-    shortest = sizes["n"] or WEIGHT
+    salts = {r["salt"] for r in seeds.select("salt").distinct().collect()}
 
     schema = "doc_id long, key long, start int, region long, words binary, seeds array<long>, places array<int>"
     own = docs.select(F.col(id_col).cast("long"), text_key(F.col(text_col)).alias("key"), F.col(text_col).cast("string"))
-    regions = map_rows(own, _region_step(table, shortest), schema)
+    regions = map_rows(own, _region_step(table, salts), schema)
     regions = write_table(regions, scratch_path(spark, "decontam-regions"))
 
     # Regions of the same words have the same seeds.

@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import itertools
 import random
 import re
 import zlib
@@ -420,6 +421,24 @@ def test_decontamination_odd(spark):
     assert decontam.overlaps(docs, items.limit(0)).count() == 0
 
 
+def test_decontamination_of_short_items(spark):
+    """Every placing of substitutions that the verification takes is found, for each length."""
+    items, rows, want = [], [], set()
+    for n in range(1, decontam.SHORT):
+        item = [f"i{n}w{k}" for k in range(n)]
+        items.append((n, " ".join(item)))
+        need = min(decontam.MIN_MATCH, -(-4 * n // 5))
+        for changed in (c for k in range(n - need + 1) for c in itertools.combinations(range(n), k)):
+            same = np.array([k not in changed for k in range(n)])
+            if decontam.best_stretch(same)[0] >= need:
+                want.add((len(rows), n))
+                words = [w if k not in changed else f"x{k}" for k, w in enumerate(item)]
+                rows.append((len(rows), " ".join(["before", *words, "after"])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    found = decontam.overlaps(docs, spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r["doc_id"], r["item_id"]) for r in found.collect()} == want
+
+
 def test_redaction(some):
     out = secret_scan.redact(some)
     assert out.columns == some.columns and out.count() == some.count()
