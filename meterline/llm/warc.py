@@ -14,7 +14,8 @@ in a range's first, foreign part fails to decode or has no header.
 
 Defined cases: null HTML is an empty payload, null URLs an empty URI. Rows that repeat the largest id
 of a payload are each a response. Rows without an id are revisits if their payload has an id at all,
-else responses. A member with a WARC header that cannot be decoded to its end raises an error.
+else responses. A member that begins as a WARC record and cannot be decoded to its end raises an error, also if its
+header breaks off. A header may have any length.
 An empty table gives files without records. Other columns are ignored.
 """
 
@@ -135,26 +136,30 @@ class _Range:
         return bool(part)
 
     def header(self, at: int) -> bool:
-        """Whether a gzip member that begins with a WARC header lies here."""
-        decoder = zlib.decompressobj(31)
-        out, size = b"", 512
+        """Whether a gzip member that begins with a WARC header lies here, however long the header is.
+
+        Raises if a member that begins as a record has no end of its header.
+        """
+        decoder, out, read, size = zlib.decompressobj(31), bytearray(), at, 512
         while True:
-            part = self.data[at : at + size]
+            more = read < len(self.data) or self.grow()
+            part = self.data[read : read + size]
             try:
-                out = zlib.decompressobj(31).decompress(part, 1 << 20)
+                seen = len(out)
+                out += decoder.decompress(part)
             except zlib.error:
+                more = False
+            if not b"WARC/".startswith(out[:5]):
                 return False
-            if not b"WARC/".startswith(out[:5]) or (len(out) >= 5 and not out.startswith(b"WARC/")):
-                return False
-            if b"\r\n\r\n" in out:
-                return b"WARC-Type:" in out and b"Content-Length:" in out
-            decoder = zlib.decompressobj(31)
-            decoder.decompress(part, 1 << 20)
-            if decoder.eof or size > 1 << 20:
-                return False
-            if at + size >= len(self.data) and not self.grow():
-                return False
-            size *= 2
+            end = out.find(b"\r\n\r\n", max(0, seen - 3))
+            if end >= 0:
+                return b"WARC-Type:" in out[:end] and b"Content-Length:" in out[:end]
+            if decoder.eof or not more:
+                if len(out) < 5:
+                    return False
+                raise ValueError(f"the header of a record at byte {self.start + at} breaks off")
+            read += len(part)
+            size = min(2 * size, 1 << 18)
 
     def member(self, at: int) -> tuple[bytes, int]:
         """The decoded member and the position after it."""

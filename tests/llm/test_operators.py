@@ -587,6 +587,28 @@ def test_warc_splits(spark, split):
     assert sorted(r["record_type"] for r in got if body[r["record_id"]] == b"<p>same</p>") == ["response"] * 2 + ["revisit"] * 2
 
 
+def test_warc_long_headers(spark):
+    rng = random.Random(31)
+    long = "http://a.net/" + "".join(rng.choice("0123456789abcdef") for _ in range(5 << 19))
+    pages = [(1, "http://a.net/x" * 300_000, "<p>one</p>"), (2, long, "<p>two</p>"), (3, "http://a.net/", "<p>three</p>")]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    assert sorted(r["page_id"] for r in warc.round_trip(df, scratch_path(spark, "warc-long")).collect()) == [1, 2, 3]
+
+
+@pytest.mark.parametrize("keep", [0.3, 0.9])
+def test_warc_header_that_breaks_off(tmp_path, keep):
+    rng = random.Random(32)
+    uri = "".join(rng.choice("0123456789abcdef") for _ in range(10_000))
+    whole = warc.member(warc.record(1, uri, b"body", "X", None, False))
+    path = tmp_path / "a.warc.gz"
+    path.write_bytes(whole[: int(len(whole) * keep)])
+    with pytest.raises(ValueError, match="breaks off"):
+        list(warc.records_of(str(path), 0, path.stat().st_size))
+    path.write_bytes(warc.member(b"WARC/1.1\r\nWARC-Type: response\r\n"))
+    with pytest.raises(ValueError, match="breaks off"):
+        list(warc.records_of(str(path), 0, path.stat().st_size))
+
+
 def test_warc_empty(spark):
     path = scratch_path(spark, "warc-none")
     assert warc.round_trip(odd_pages(spark).limit(0), path).count() == 0
