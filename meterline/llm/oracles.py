@@ -86,6 +86,51 @@ select page_id, host, path, rule,
 from r
 """
 
+OP12 = """
+with t as (select doc_id, coalesce(lang, '') as part, coalesce(text, '') as text from documents),
+w as (
+  select *, list_filter(regexp_split_to_array(text, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') as words,
+    min(doc_id) over (partition by text) as first
+  from t),
+f as (
+  select doc_id, part,
+    len(words) < 200 as a,
+    100 * len(list_distinct(words)) < 50 * len(words) as b,
+    100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text) as c,
+    regexp_matches(text, '[#$%&*|]') as d,
+    coalesce(first < doc_id, false) as e
+  from w),
+l as (select doc_id, max(quality = 1) as good, max(toxic = 1) as toxic from labels group by doc_id),
+m as (
+  select part, [a, b, c, d, e] as fails, count(*) as n, count(*) filter (good) as good, count(*) filter (toxic) as toxic
+  from f left join l using (doc_id) group by all),
+x as (select unnest(range(1, 6)) as i),
+o as (
+  select [x1.i, x2.i, x3.i, x4.i, x5.i] as places from x x1, x x2, x x3, x x4, x x5
+  where len(list_distinct([x1.i, x2.i, x3.i, x4.i, x5.i])) = 5),
+s as (
+  select array_to_string(list_transform(places, lambda p: substr('ABCDE', p, 1)), '') as filter_order, i as step,
+    places[i] as own, places[1:i - 1] as earlier
+  from o, x),
+j as (
+  select part, filter_order, step, own, n, good, toxic, fails[own] as failing,
+    len(list_filter(earlier, lambda p: fails[p])) > 0 as gone, len(list_filter(fails, lambda p: p)) as n_fails
+  from m, s),
+k as (
+  select part, filter_order, step, own,
+    sum(case when not gone and not failing then n else 0 end) as kept,
+    sum(case when not gone and failing then n else 0 end) as removed,
+    sum(case when gone and failing then n else 0 end) as redundant,
+    sum(case when failing and n_fails = 1 then n else 0 end) as unique_fails,
+    sum(case when not gone and failing then good else 0 end) as good_lost,
+    sum(case when not gone and failing then toxic else 0 end) as toxic_lost
+  from j group by all)
+select part, filter_order, step::int as step, kept::bigint as kept, removed::bigint as removed, redundant::bigint as redundant,
+  unique_fails::bigint as unique_fails, good_lost::bigint as good_lost, toxic_lost::bigint as toxic_lost,
+  (sum(removed) over (partition by part, own))::bigint as shapley
+from k
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_warc": OP1, "op4_jaccard": OP4, "op10_urls": OP10}
+    return {"op1_warc": OP1, "op4_jaccard": OP4, "op10_urls": OP10, "op12_filter_audit": OP12}

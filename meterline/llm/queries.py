@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, decontam, jaccard, langid, licenses, pii, quality, secret_scan, urls, warc
+from . import bpe, decontam, filter_audit, jaccard, langid, licenses, pii, quality, secret_scan, urls, warc
 from .textops import table
 
 
@@ -53,6 +53,10 @@ def op10_urls(spark, d):
     return urls.judge(table(spark, d, "pages"))
 
 
+def op12_filter_audit(spark, d):
+    return filter_audit.audit(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
 def queries():
     every = (
         op1_warc,
@@ -65,5 +69,6 @@ def queries():
         op8_secrets,
         op9_decontamination,
         op10_urls,
+        op12_filter_audit,
     )
     return {f.__name__: f for f in every}
