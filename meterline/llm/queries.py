@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, decontam, filter_audit, jaccard, langid, licenses, pii, quality, secret_scan, urls, warc
+from . import bpe, decontam, filter_audit, jaccard, langid, licenses, mixing, pii, quality, secret_scan, urls, warc
 from .textops import table
 
 
@@ -57,6 +57,10 @@ def op12_filter_audit(spark, d):
     return filter_audit.audit(table(spark, d, "documents"), table(spark, d, "labels"))
 
 
+def op13_mixing(spark, d):
+    return mixing.mix(table(spark, d, "documents"))
+
+
 def queries():
     every = (
         op1_warc,
@@ -70,5 +74,6 @@ def queries():
         op9_decontamination,
         op10_urls,
         op12_filter_audit,
+        op13_mixing,
     )
     return {f.__name__: f for f in every}
