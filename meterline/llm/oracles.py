@@ -86,6 +86,46 @@ select page_id, host, path, rule,
 from r
 """
 
+
+
+def _round(t: int) -> str:
+    """Assignment ``a`` of the parts to the codebooks ``b`` of a round."""
+    return f"""
+d{t} as materialized (
+  select e.vec_id, e.part, b.entry, sum((e.val - b.val) * (e.val - b.val)) as d
+  from e join b{t} b on e.part = b.part and e.pos = b.pos group by all),
+a{t} as materialized (
+  select * from d{t} qualify row_number() over (partition by vec_id, part order by d, entry) = 1)"""
+
+
+def _means(t: int) -> str:
+    """Codebooks of the round after ``t``: floor of sum by count."""
+    return f"""
+m{t} as (
+  select a.part, a.entry, e.pos, sum(e.val)::bigint as s, count(*) as n
+  from a{t} a join e on a.vec_id = e.vec_id and a.part = e.part group by all),
+b{t + 1} as materialized (
+  select b.part, b.entry, b.pos, coalesce((s - ((s % n) + n) % n) // n, b.val) as val
+  from b{t} b left join m{t} m on b.part = m.part and b.entry = m.entry and b.pos = m.pos)"""
+
+
+OP11 = f"""
+with k as materialized (
+  select vec_id, label, embedding as v from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+p as (select vec_id, v, unnest(range(1, len(v) + 1)) as i, len(v) // 4 as width from k),
+e as materialized (
+  select vec_id, (i - 1) // width as part, (i - 1) % width as pos, floor(v[i]::double * 1024)::bigint as val from p),
+first as (select vec_id, row_number() over (order by vec_id) - 1 as entry from k qualify entry < 256),
+b0 as materialized (select part, entry, pos, val from e join first using (vec_id)),
+{",".join(x for t in range(4) for x in (_round(t), _means(t)))},{_round(4)},
+c as (
+  select vec_id, string_agg(printf('%02x', entry), '' order by part) as code, sum(d)::bigint as error from a4 group by vec_id)
+select vec_id, code, error, (sum(error) over (partition by label))::bigint as label_error,
+  (select sha256(string_agg(val::varchar, ',' order by part, entry, pos)) from b4) as codebooks_sha256
+from c join k using (vec_id)
+"""
+
 OP12 = """
 with t as (select doc_id, coalesce(lang, '') as part, coalesce(text, '') as text from documents),
 w as (
@@ -133,4 +173,4 @@ from k
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_warc": OP1, "op4_jaccard": OP4, "op10_urls": OP10, "op12_filter_audit": OP12}
+    return {"op1_warc": OP1, "op4_jaccard": OP4, "op10_urls": OP10, "op11_codebooks": OP11, "op12_filter_audit": OP12}

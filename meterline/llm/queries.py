@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from . import bpe, decontam, filter_audit, jaccard, langid, licenses, mixing, pii, quality, secret_scan, urls, warc
+from . import bpe, codebooks, decontam, filter_audit, jaccard, langid, licenses, mixing, pii, quality, secret_scan, urls, warc
 from .textops import table
 
 
@@ -53,6 +53,10 @@ def op10_urls(spark, d):
     return urls.judge(table(spark, d, "pages"))
 
 
+def op11_codebooks(spark, d):
+    return codebooks.encode(table(spark, d, "embeddings"))
+
+
 def op12_filter_audit(spark, d):
     return filter_audit.audit(table(spark, d, "documents"), table(spark, d, "labels"))
 
@@ -73,6 +77,7 @@ def queries():
         op8_secrets,
         op9_decontamination,
         op10_urls,
+        op11_codebooks,
         op12_filter_audit,
         op13_mixing,
     )
