@@ -3,7 +3,7 @@
 Vectors become integers and are cut into four parts; each part's codebook is refined by rounds of
 nearest-entry assignment and integer means. Everything decided is decided in exact integers. Distances
 that cannot matter are not computed: per vector and part the state holds a bound on the distance
-to the own entry and, for each block of ``BLOCK`` entries, one on the distance to the nearest of them.
+to the own entry and, for each block of near entries, one on the distance to the nearest of them.
 Bounds are not adjusted round by round. Each carries the round it was made in, and the codebooks of all rounds are kept,
 so in a later round it is loosened by how far the entries truly moved since (the norm of the summed
 moves), which is never more than the sum of the moves' norms. Where own and block bounds meet, the own distance is
@@ -42,8 +42,8 @@ ROUNDS = 4
 SCALE = 1024
 #: Components beyond count as this; integers then square exactly in a long.
 MOST = 1 << 16
-#: Entries that share a bound. Vectors handled at once.
-BLOCK = 32
+#: Entries that share a bound, on average. Vectors handled at once.
+BLOCK = 16
 CHUNK = 2048
 #: Integers up to this have exact squared distances in doubles, for 512 components or fewer a part.
 EXACT = 1 << 21
@@ -75,16 +75,37 @@ def _down(d2: np.ndarray) -> np.ndarray:
     return np.nextafter(np.sqrt(d2.astype(np.float64)).astype(np.float32), np.float32(-np.inf))
 
 
+def blocks_of(book: np.ndarray) -> list[np.ndarray]:
+    """Entries of one codebook in blocks of near ones, ``BLOCK`` to a block on average; a block may be empty.
+
+    Each entry goes to the nearest of some entries that lie far apart.
+    """
+    d2 = distances(book, book)
+    far = [0]
+    while len(far) < -(-len(book) // BLOCK):
+        far.append(int(d2[far].min(0).argmax()))
+    nearest = d2[far].argmin(0)
+    return [np.flatnonzero(nearest == k) for k in range(len(far))]
+
+
 class Moves:
-    """How far entries moved from each earlier round to the newest, by part: each entry, each block's farthest."""
+    """The blocks of the first codebooks, and how far entries moved from each round to the newest.
+
+    ``entry`` has each entry's move and ``block`` that of each block's farthest, by round and part.
+    """
 
     def __init__(self, history: list[np.ndarray]):
         now = history[-1]
+        self.blocks = [blocks_of(book) for book in history[0]]
+        self.home = np.zeros(now.shape[:2], np.int64)
         # An entry at its old place moved by 0, where _up would give the least number above 0.
         far = [np.where((now == old).all(2), np.float32(0), _up(((now - old) ** 2).sum(2))) for old in history]
         self.entry = np.stack(far)
-        starts = np.arange(0, now.shape[1], BLOCK)
-        self.block = np.maximum.reduceat(self.entry, starts, axis=2)
+        self.block = np.zeros((len(history), PARTS, len(self.blocks[0])), np.float32)
+        for p, blocks in enumerate(self.blocks):
+            for b, entries in enumerate(blocks):
+                self.home[p, entries] = b
+                self.block[:, p, b] = self.entry[:, p, entries].max(1, initial=0)
 
 
 class State:
@@ -106,27 +127,27 @@ class State:
         for p in range(PARTS):
             x = self.ints[:, p].astype(np.int64)
             if first:
-                self._scan_all(p, x, book[p])
+                self._scan_all(p, x, book[p], moves.blocks[p])
                 continue
-            code, blocks = self.code[:, p].astype(np.int64), np.arange(self.near.shape[2])
+            code, every = self.code[:, p].astype(np.int64), np.arange(self.near.shape[2])
             own_move = moves.entry[self.own_round[:, p], p, code]
-            near_move = moves.block[self.near_round[:, p], p, blocks[None, :]]
+            near_move = moves.block[self.near_round[:, p], p, every[None, :]]
             # Rounded away from each other, so that bounds in 32 bits stay bounds.
             own = np.nextafter(self.own[:, p] + own_move, np.float32(np.inf))
             near = np.nextafter(self.near[:, p] - near_move, np.float32(-np.inf))
-            self._rescan(p, x, book[p], code, own, near, now)
+            self._rescan(p, x, book[p], moves.blocks[p], moves.home[p], code, own, near, now)
 
-    def _scan_all(self, p: int, x: np.ndarray, book: np.ndarray) -> None:
+    def _scan_all(self, p: int, x: np.ndarray, book: np.ndarray, blocks: list[np.ndarray]) -> None:
         d2 = distances(x, book)
         self.scanned += d2.size
         code = d2.argmin(1)
         rows = np.arange(len(x))
         self.code[:, p], self.own[:, p] = code, _up(d2[rows, code])
         d2[rows, code] = np.iinfo(np.int64).max
-        for b in range(self.near.shape[2]):
-            self.near[:, p, b] = _down(d2[:, b * BLOCK : (b + 1) * BLOCK].min(1))
+        for b, entries in enumerate(blocks):
+            self.near[:, p, b] = _down(d2[:, entries].min(1, initial=np.iinfo(np.int64).max))
 
-    def _rescan(self, p, x, book, code, own, near, now) -> None:
+    def _rescan(self, p, x, book, blocks, home, code, own, near, now) -> None:
         """Tightens own distances where a block is in reach, then scans the blocks that still are."""
         doubtful = np.flatnonzero((near <= own[:, None]).any(1))
         if not len(doubtful):
@@ -138,23 +159,23 @@ class State:
         found = {}
         for b in np.flatnonzero(reach.any(0)):
             at = np.flatnonzero(reach[:, b])
-            d2 = distances(x[doubtful[at]], book[b * BLOCK : (b + 1) * BLOCK])
+            d2 = distances(x[doubtful[at]], book[blocks[b]])
             self.scanned += d2.size
             found[b] = at, d2
-            entry = d2.argmin(1)
-            d, j = d2[np.arange(len(at)), entry], entry + b * BLOCK
+            entry = d2.argmin(1)  # the lower index of equals, as blocks are in order
+            d, j = d2[np.arange(len(at)), entry], blocks[b][entry]
             better = (d < best[at]) | ((d == best[at]) & (j < best_code[at]))
             best[at[better]], best_code[at[better]] = d[better], j[better]
         # An entry left for another becomes one of its block's, at the distance just computed.
         moved = np.flatnonzero(best_code != code[doubtful])
-        rows, block = doubtful[moved], code[doubtful[moved]] // BLOCK
+        rows, block = doubtful[moved], home[code[doubtful[moved]]]
         self.near[rows, p, block] = np.minimum(near[rows, block], _down(d_own[moved]))
         self.near_round[rows, p, block] = now
         self.code[doubtful, p] = best_code
         self.own[doubtful, p] = _up(best)
         for b, (at, d2) in found.items():
-            inside = best_code[at] // BLOCK == b
-            d2[np.flatnonzero(inside), best_code[at[inside]] - b * BLOCK] = np.iinfo(np.int64).max
+            inside = np.flatnonzero(home[best_code[at]] == b)
+            d2[inside, np.searchsorted(blocks[b], best_code[at[inside]])] = np.iinfo(np.int64).max
             self.near[doubtful[at], p, b] = _down(d2.min(1))
             self.near_round[doubtful[at], p, b] = now
 
