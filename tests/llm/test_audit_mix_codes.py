@@ -357,7 +357,7 @@ def test_true_moves_are_tighter_than_sums_of_moves():
 def test_codes_of_odd_rows(spark):
     nan, inf = float("nan"), float("inf")
     odd = [
-        (1, [0.1, 0.2, 0.3, 0.4, 0.5], 1), (2, None, 1), (3, [0.1, None, 0.3, 0.4, 0.5], 1), (4, [nan] * 5, 1), (5, [inf, 0, 0, 0, 0], 1),
+        (1, [0.1, 0.2, 0.3, 0.4, 0.5], 1), (2, None, 1), (3, [0.1, None, 0.3, 0.4, 0.5], 1), (4, [nan] * 5, 1), (5, [inf, 0.0, 0.0, 0.0, 0.0], 1),
         (6, [-0.1, 0.2, 0.3, 0.4, 0.5], None), (6, [-0.2, 0.2, 0.3, 0.4, 0.5], 1), (6, [-0.2, 0.2, 0.3, 0.4, 0.5], 1),
         (None, [0.9, 0.2, 0.3, 0.4, 0.5], None), (7, [0.1] * 4, 1), (8, [], 1), (9, [1e30, -1e30, 0.0, -0.0, 1e-30], 2),
     ]
