@@ -6,32 +6,57 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+SQUARED, LOGISTIC = "squared", "logistic"
+_P = "(1e0 / (1e0 + exp(-pred)))"
+#: First and second derivative of the objective by the prediction, as SQL over (pred, y).
+GRADIENT = {SQUARED: "(pred - y)", LOGISTIC: f"({_P} - y)"}
+HESSIAN = {SQUARED: "1e0", LOGISTIC: f"greatest({_P} * (1e0 - {_P}), 1e-16)"}
+
+
 def gradient(pred: Column, y: Column) -> Column:
     """First derivative of squared error; the second derivative is 1 for every row."""
     return pred - y
 
 
-def histogram(rows: DataFrame, span: int, keep_code: str | None = None) -> DataFrame:
-    """(slot, code, g, h) from rows (slot, g, codes); ``span`` exceeds every code.
+def _codes_of(rows: DataFrame, keep_code: str | None) -> DataFrame:
+    kept = [c for c in rows.columns if c != "codes"]
+    cells = rows.selectExpr(*kept, "explode(codes) as code")
+    return cells if keep_code is None else cells.filter(keep_code)
+
+
+def _sums(counted: bool) -> list[Column]:
+    return [F.expr("sum(g) as g"), F.expr("double(count(*)) as h" if counted else "sum(h) as h")]
+
+
+def histogram(rows: DataFrame, span: int, keep_code: str | None = None, counted: bool = True) -> DataFrame:
+    """(slot, code, g, h) from rows (slot, g, h, codes); ``span`` exceeds every code.
 
     Slot and code are packed into one long before grouping. Spark's aggregate keeps a single
     long key in its fast map, which measured more than twice as fast as grouping by two
     columns. Partial sums form in the scan stage, so at most (slots x codes) cells per task
     are shuffled, whatever the number of rows or the share of the largest bin. ``keep_code``
-    is a SQL condition on code and the rows' other columns.
+    is a SQL condition on code and the rows' other columns. With ``counted`` every row's ``h`` is 1.
     """
-    kept = [c for c in rows.columns if c != "codes"]
-    cells = rows.selectExpr(*kept, "explode(codes) as code")
-    if keep_code is not None:
-        cells = cells.filter(keep_code)
+    cells = _codes_of(rows, keep_code)
+    values = ["g"] if counted else ["g", "h"]
     return (
-        cells.selectExpr(f"slot * {span} + code as cell", "g")
+        cells.selectExpr(f"slot * {span} + code as cell", *values)
         .groupBy("cell")
-        .agg(F.expr("sum(g) as g"), F.expr("double(count(*)) as h"))
+        .agg(*_sums(counted))
         .selectExpr(f"cell div {span} as slot", f"int(cell % {span}) as code", "g", "h")
     )
 
 
+def histogram_by_slot(rows: DataFrame, span: int, keep_code: str | None = None, counted: bool = True) -> DataFrame:
+    """The same cells from rows that first move to their slot's task.
+
+    For many slots with few rows each, where partial sums would save nothing: a row moves once, with its
+    codes as one array, and its slot's cells form and stay in one task. No slot may be hot.
+    """
+    cells = _codes_of(rows.repartition("slot"), keep_code)
+    return cells.groupBy("slot", F.col("code").cast("int").alias("code")).agg(*_sums(counted))
+
+
 def with_siblings(built: DataFrame, parents: DataFrame) -> DataFrame:
     """Cells of both children of every split node, given one child and the parent.
 

@@ -28,7 +28,7 @@ from ..operators.splits import best_splits, scan_splits
 from ..search import propose as tpe
 from ..search import rungs, runner
 from ..search.space import SPACE, draw_configs
-from ..session import drop_path, scratch_path, spread, tune
+from ..session import drop_path, scratch_path, tune
 from ..sources.months import conform
 from ..sources.trips import TRIP_KEY, line_trips, trips_of
 from ..streaming.pipeline import run_available
@@ -66,7 +66,7 @@ def cleaned_split(spark: SparkSession, d: str) -> DataFrame:
 
 
 def features_of(spark: SparkSession, d: str) -> dict[str, DataFrame]:
-    lines = spread(table(spark, d, "lineitem"))
+    lines = table(spark, d, "lineitem")
     trips = sp.split_by_year(trips_of(spark, lines), YEARS)
     f = clean_and_featurize(trips, keep=("split",))
     return {n: f.filter(F.col("split") == n).drop("split") for n in YEARS}
@@ -205,7 +205,7 @@ def capped_sample(spark, d):
 
 
 def exact_sample(spark, d):
-    trips = trips_of(spark, spread(table(spark, d, "lineitem")))  # hashed more than once
+    trips = trips_of(spark, table(spark, d, "lineitem"))  # hashed more than once
     return sampling.exact_sample(trips, 1000, key()).select(*TRIP_KEY)
 
 

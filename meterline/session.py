@@ -39,17 +39,6 @@ def local_session(cores: str | int = "*", app: str = "meterline", **conf: str) -
     return tune(spark)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Evens a table out over the cores if it has fewer partitions than there are cores.
-
-    For small inputs that heavy per-row work or many passes follow; a table that is large
-    for its cluster passes through unchanged. Meant for plain scans: counting the partitions
-    of a plan with shuffles would run them.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def loop_session(spark: SparkSession) -> SparkSession:
     """A session beside the caller's, for loops of many small, similar jobs.
 
@@ -92,3 +81,34 @@ def drop_path(spark: SparkSession, path: str) -> None:
         raise ValueError(f"{path} is not a scratch path")
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def _path(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def list_folder(spark: SparkSession, path: str) -> list[str]:
+    """Names of what a folder of any file system Spark knows holds; none if there is no such folder."""
+    fs, p = _path(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """A small file's text, None if there is no such file."""
+    fs, p = _path(spark, path)
+    if not fs.exists(p):
+        return None
+    return "\n".join(r["value"] for r in spark.read.text(path).collect())
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Writes a small file under another name and renames it: it is there whole or not at all."""
+    fs, p = _path(spark, path)
+    part = spark._jvm.org.apache.hadoop.fs.Path(f"{path}.part")
+    out = fs.create(part, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    fs.delete(p, False)
+    if not fs.rename(part, p):
+        raise OSError(f"cannot write {path}")

@@ -10,7 +10,9 @@ from meterline.operators import model as model_module
 from meterline.operators.binning import Binner, bin_edges
 from meterline.operators.features import clean_and_featurize
 from meterline.operators.fit import fit, fit_final
+from meterline.operators.histogram import LOGISTIC
 from meterline.operators.model import Model
+from meterline.operators.roundlog import RoundLog
 from meterline.sources.synthetic import month_trips
 
 BINNER = Binner(("a", "b"), ((1.0, 2.0, 3.0), (0.5,)), ("PULocationID", "VendorID"), (265, 4))
@@ -221,3 +223,124 @@ def test_row_draws_do_not_depend_on_the_partitions(spark, small):
         e = B.boost(binned, BINNER, {0: B.BoostConfig(max_depth=3, subsample=0.5)}, max_rounds=3, seed=4)[0]
         runs.append(e.valid_rmse)
     assert runs[0] == pytest.approx(runs[1], abs=1e-12)
+
+
+def same_trees(a, b):
+    assert len(a.trees) == len(b.trees)
+    for x, y in zip(a.trees, b.trees):
+        assert (x.place, x.feature, x.child, x.right) == (y.place, y.feature, y.child, y.right)
+        assert x.weight == pytest.approx(y.weight, abs=1e-12) and x.gain == pytest.approx(y.gain, abs=1e-9)
+    assert a.valid_rmse == pytest.approx(b.valid_rmse, abs=1e-12) and a.best_round == b.best_round
+
+
+class Killed(Exception):
+    pass
+
+
+@pytest.mark.parametrize("every", [1, 2, 10])
+def test_a_broken_fit_goes_on_from_its_log(spark, small, tmp_path, every):
+    """Killed in round 3: the rounds before the last commit are not trained again, the trees are the same."""
+    binned, _ = B.write_binned(spark, BINNER, small, small.filter("i % 3 = 0"), "y")
+    configs = {
+        0: B.BoostConfig(max_depth=3, subsample=0.7, colsample_bytree=0.75),
+        4: B.BoostConfig(max_depth=2, learning_rate=0.9),
+    }
+    folder = str(tmp_path / "log")
+    seen = []
+
+    def watch(kill):
+        def on_round(r, live):
+            seen.append(r)
+            if r == kill:
+                raise Killed
+            return {4} if r == 1 else set()  # one trial is stopped on the way
+
+        return on_round
+
+    whole = B.boost(binned, BINNER, configs, max_rounds=6, seed=5, on_round=watch(None))
+    seen.clear()
+    with pytest.raises(Killed):
+        B.boost(binned, BINNER, configs, max_rounds=6, seed=5, on_round=watch(3), cut_every=every, log=RoundLog(folder))
+    seen.clear()
+    again = B.boost(binned, BINNER, configs, max_rounds=6, seed=5, on_round=watch(None), cut_every=every, log=RoundLog(folder))
+    assert seen[0] == {1: 3, 2: 2, 10: 0}[every]
+    for t in configs:
+        same_trees(whole[t], again[t])
+    seen.clear()
+    third = B.boost(binned, BINNER, configs, max_rounds=6, seed=5, on_round=watch(0), log=RoundLog(folder))
+    assert seen == []  # all rounds are there
+    same_trees(whole[0], third[0])
+
+
+def test_only_finished_commits_count(spark, small, tmp_path):
+    binned, _ = B.write_binned(spark, BINNER, small, small.limit(0), "y")
+    folder = tmp_path / "log"
+    config = {0: B.BoostConfig(max_depth=2)}
+    whole = B.boost(binned, BINNER, config, max_rounds=4, cut_every=1, log=RoundLog(str(folder)))[0]
+    (folder / "rounds-000002" / "_SUCCESS").unlink()  # its write broke off; the commit after it has no base
+    seen = []
+    again = B.boost(
+        binned, BINNER, config, max_rounds=4, cut_every=1, log=RoundLog(str(folder)), on_round=lambda r, _: seen.append(r) or set()
+    )[0]
+    assert seen == [2, 3]
+    same_trees(whole, again)
+    with pytest.raises(ValueError, match="another fit"):
+        B.boost(binned, BINNER, {0: B.BoostConfig(max_depth=3)}, max_rounds=4, log=RoundLog(str(folder)))
+
+
+def test_fit_with_a_log(spark, months, tmp_path):
+    options = dict(max_rounds=3, max_bins=16, commit_every=1)
+    folder = str(tmp_path / "fit")
+
+    def kill(r, live):
+        if r == 1:
+            raise Killed
+        return set()
+
+    with pytest.raises(Killed):
+        fit(months["train"], months["valid"], {"max_depth": 2}, on_round=kill, log_folder=folder, **options)
+    again = fit(months["train"], months["valid"], {"max_depth": 2}, log_folder=folder, **options)
+    same_trees(fit(months["train"], months["valid"], {"max_depth": 2}, **options).ensemble, again.ensemble)
+
+
+def test_light_nodes_move_to_their_task(spark, small, monkeypatch):
+    """Past a number of nodes rows are laid out by node: the same trees, whichever nodes that takes."""
+    binned, _ = B.write_binned(spark, BINNER, small, small.filter("i % 4 = 0"), "y")
+    configs = {1: B.BoostConfig(max_depth=12, learning_rate=0.8, reg_lambda=0.1), 2: B.BoostConfig(max_depth=5, subsample=0.8)}
+    want = B.boost(binned, BINNER, configs, max_rounds=2)
+    assert max(t.depth for t in want[1].trees) >= 9
+    for most in (0, 1, 3):
+        monkeypatch.setattr(B, "_MOST_NODES", most)
+        got = B.boost(binned, BINNER, configs, max_rounds=2)
+        for t in configs:
+            same_trees(want[t], got[t])
+
+
+def test_logistic_objective(spark, small):
+    """Trees on first and second derivatives of the log loss, against the plain formulas."""
+    df = small.withColumn("y", (F.col("y") > 0.1).cast("double"))
+    binned, _ = B.write_binned(spark, BINNER, df, df.filter("i % 3 = 0"), "y")
+    config = B.BoostConfig(max_depth=2, learning_rate=0.6, min_child_weight=2.0)
+    e = B.boost(binned, BINNER, {0: config}, max_rounds=3, objective=LOGISTIC)[0]
+    rows = BINNER.transform(df, keep=["y", "i"]).orderBy("i").toPandas()
+    y, codes = rows["y"].to_numpy(), np.array(rows["codes"].tolist())
+    margin = np.full(len(y), np.log(y.mean() / (1 - y.mean())))
+    assert e.base == pytest.approx(margin[0])
+    leaf, weight = B.walker(e.trees, BINNER.stride)
+    for r, tree in enumerate(e.trees):
+        p = 1 / (1 + np.exp(-margin))
+        g, h = p - y, p * (1 - p)
+        node = leaf(r, codes.astype(np.int64))
+        first = sum(len(t.feature) for t in e.trees[:r])
+        for n in np.unique(node):
+            own = node == n
+            assert weight[n] == pytest.approx(-0.6 * g[own].sum() / (h[own].sum() + 1), abs=1e-9)
+            assert tree.cover[n - first] == pytest.approx(h[own].sum(), abs=1e-9) and h[own].sum() >= 2.0
+        margin += weight[node]
+        loss = np.mean(np.logaddexp(0, margin) - y * margin)
+        assert e.train_rmse[r] == pytest.approx(loss, abs=1e-9)
+    scored = Model(BINNER, e)
+    e.best_round = 2
+    got = scored.score(df, keep=["i"]).orderBy("i").toPandas()["prediction"]
+    assert np.allclose(got, 1 / (1 + np.exp(-margin)), atol=1e-9)
+    assert e.train_rmse == sorted(e.train_rmse, reverse=True)
