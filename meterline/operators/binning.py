@@ -25,44 +25,70 @@ def bucket(v: Column, bits: int = BUCKET_BITS) -> Column:
     return F.when(edge, v).otherwise(F.floor(v * scale + 0.5).cast("double") / scale)
 
 
-def value_counts(df: DataFrame, features: list[str]) -> DataFrame:
-    """Rows per (feature position, value), missing ones left out. Partial counts form before the shuffle."""
+def values_of(df: DataFrame, features: list[str]) -> DataFrame:
+    """(pos, value, bucket) of every feature value, missing ones left out."""
     values = F.array(*[F.col(c).cast("double") for c in features])
-    return (
-        df.select(F.posexplode(values).alias("pos", "value"))
-        .filter("value is not null and not isnan(value)")
-        .groupBy("pos", "value")
-        .agg(F.count("*").alias("n"))
+    shown = df.select(F.posexplode(values).alias("pos", "value")).filter("value is not null and not isnan(value)")
+    return shown.withColumn("bucket", bucket(F.col("value")))
+
+
+def bucket_counts(df: DataFrame, features: list[str]) -> DataFrame:
+    """(pos, bucket, n, lo, hi): rows, least and greatest value per bucket.
+
+    Partial sums form before the shuffle: at most 2**(BUCKET_BITS-1) rows per feature and power of two leave
+    a task, however many values there are.
+    """
+    return values_of(df, features).groupBy("pos", "bucket").agg(
+        F.count("*").alias("n"), F.min("value").alias("lo"), F.max("value").alias("hi")
     )
 
 
-def bin_edges(df: DataFrame, features: list[str], max_bins: int = MAX_BINS) -> DataFrame:
-    """(pos, edge): values that start a new bin. The smallest value starts none.
+def cut_buckets(counts: DataFrame, max_bins: int) -> DataFrame:
+    """(pos, bucket, n, lo, hi, before, total, open): buckets that hold an edge.
 
-    An edge is the smallest value whose cumulative count reaches j/max_bins of all rows, exactly;
-    a feature with at most ``max_bins`` distinct values has an edge at each of them. The counts are
-    first added up in buckets of near values; only buckets that hold an edge, fewer than
-    ``max_bins + 1`` per feature, are then put in order value by value. No window sees more rows than
-    a feature has buckets, or a bucket has values (2**12 for 32-bit floats).
+    These are fewer than ``max_bins + 1`` per feature. All buckets of a feature count that may have at
+    most ``max_bins`` distinct values, which has an edge at each of them; ``open`` says that this is not known yet.
     """
-    counts = value_counts(df, features).withColumn("bucket", bucket(F.col("value")))
-    order = Window.partitionBy("pos").orderBy("bucket")
-    whole = Window.partitionBy("pos")
-    sums = counts.groupBy("pos", "bucket").agg(F.sum("n").alias("n"), F.count("*").alias("values"))
-    ranked = sums.select(
-        "pos",
-        "bucket",
+    order, whole = Window.partitionBy("pos").orderBy("bucket"), Window.partitionBy("pos")
+    least = F.sum(F.when(F.col("lo") < F.col("hi"), 2).otherwise(1)).over(whole)  # distinct values at least
+    ranked = counts.select(
+        "*",
         (F.sum("n").over(order) - F.col("n")).alias("before"),
-        F.sum("n").over(order).alias("upto"),
         F.sum("n").over(whole).alias("total"),
-        (F.sum("values").over(whole) <= max_bins).alias("few"),
+        (least <= max_bins).alias("open"),
     )
-    cut = ranked.filter(f"few or upto * {max_bins} div total > before * {max_bins} div total").drop("upto")
-    inside = Window.partitionBy("pos", "bucket").orderBy("value")
-    values = counts.join(F.broadcast(cut), ["pos", "bucket"]).withColumn("cum", F.sum("n").over(inside) + F.col("before"))
-    prev = values.withColumn("prev", F.col("cum") - F.col("n"))
-    reached = f"least(cum * {max_bins} div total, {max_bins - 1}) > prev * {max_bins} div total"
-    return prev.filter(f"prev > 0 and (few or {reached})").select("pos", F.col("value").alias("edge"))
+    return ranked.filter(f"open or (before + n) * {max_bins} div total > before * {max_bins} div total")
+
+
+_CUT = "pos int, bucket double, n long, lo double, hi double, before long, total long, open boolean"
+
+
+def bin_edges(df: DataFrame, features: list[str], max_bins: int = MAX_BINS) -> DataFrame:
+    """(pos, edge): values that start a new bin. The smallest value starts none.
+
+    An edge is the smallest value whose cumulative count reaches j/max_bins of all rows, exactly;
+    a feature with at most ``max_bins`` distinct values has an edge at each of them. Two looks: rows
+    are counted in buckets of near values, of which few hold an edge; then only the values in those are
+    counted one by one, and of those only in buckets that hold more than one value. No window sees more
+    rows than a feature has buckets, or a bucket has values (2**12 for 32-bit floats).
+    """
+    spark = df.sparkSession
+    found = cut_buckets(bucket_counts(df, features), max_bins).select(*[c.split()[0] for c in _CUT.split(", ")]).collect()
+    cut = spark.createDataFrame(found, _CUT)  # at most max_bins rows per feature
+    values = cut.filter("lo = hi").select("pos", "bucket", F.col("lo").alias("value"), "n")
+    if any(r["lo"] < r["hi"] for r in found):
+        many = cut.filter("lo < hi").select("pos", "bucket")
+        inner = values_of(df, features).join(F.broadcast(many), ["pos", "bucket"])
+        values = values.union(inner.groupBy("pos", "bucket", "value").agg(F.count("*").alias("n")))
+    known = values.join(F.broadcast(cut.select("pos", "bucket", "before", "total", "open")), ["pos", "bucket"])
+    inside, whole = Window.partitionBy("pos", "bucket").orderBy("value"), Window.partitionBy("pos")
+    upto = F.sum("n").over(inside) + F.col("before")
+    placed = known.select("pos", "value", "n", "total", "open", upto.alias("upto"))
+    # Features in question have few buckets, so that few rows meet in this window.
+    asked = placed.filter("open").withColumn("few", F.count("*").over(whole) <= max_bins)
+    placed = placed.filter("not open").withColumn("few", F.lit(False)).union(asked)
+    reached = f"least(upto * {max_bins} div total, {max_bins - 1}) > (upto - n) * {max_bins} div total"
+    return placed.filter(f"upto > n and (few or {reached})").select("pos", F.col("value").alias("edge"))
 
 
 @dataclass(frozen=True)

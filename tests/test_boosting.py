@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from meterline import schema as S
 from meterline.operators import boosting as B
 from meterline.operators import model as model_module
-from meterline.operators.binning import Binner, bin_edges
+from meterline.operators.binning import Binner, bin_edges, bucket_counts
 from meterline.operators.features import clean_and_featurize
 from meterline.operators.fit import fit, fit_final
 from meterline.operators.histogram import LOGISTIC
@@ -344,3 +344,24 @@ def test_logistic_objective(spark, small):
     got = scored.score(df, keep=["i"]).orderBy("i").toPandas()["prediction"]
     assert np.allclose(got, 1 / (1 + np.exp(-margin)), atol=1e-9)
     assert e.train_rmse == sorted(e.train_rmse, reverse=True)
+
+
+def test_edges_of_few_values_in_few_buckets(spark):
+    """Fewer distinct values than bins, some sharing a bucket; more values than bins in fewer buckets than bins."""
+    few = [100_000.0, 100_001.0, 100_002.0, 5.0, -0.0, 0.0, -7.25] * 3
+    narrow = [1_000_000.0 + i % 40 for i in range(400)]
+    df = spark.createDataFrame([(a, b) for a, b in zip((few * 20)[:400], narrow)], "v double, w double").repartition(3)
+    assert bucket_counts(df, ["v", "w"]).count() < 12
+    got = {}
+    for r in bin_edges(df, ["v", "w"], max_bins=16).collect():
+        got.setdefault(r["pos"], set()).add(r["edge"])
+    assert got[0] == {0.0, 5.0, 100_000.0, 100_001.0, 100_002.0}
+    order = sorted(narrow)
+    assert got[1] == {order[-(-j * 400 // 16) - 1] for j in range(1, 16)} - {order[0]}
+    assert bin_edges(df.limit(0), ["v", "w"]).count() == 0
+
+
+def test_first_look_is_bounded(spark):
+    """Buckets per power of two, however many values."""
+    df = spark.range(200_000).select(((F.col("id") * 0.61803398875 % 1) + 1).alias("v"))
+    assert bucket_counts(df, ["v"]).count() <= 1 + (1 << 11)
