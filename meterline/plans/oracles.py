@@ -172,21 +172,28 @@ scan as (select *, {gain('gl', 'hl', '(feature <> 2 or least(pos, n_present - po
   {gain('(gl + gm)', '(hl + hm)', '(feature <> 2 or least(pos, n_present - pos) <= 64)')} as gain_left from sided)"""
 
 
-def stumps() -> str:
+def stumps(logistic: bool = False, gains_only: bool = False) -> str:
     """Three rounds of one-split trees over three binned columns, lambda 1, rate 0.5."""
     cols = [f32(c) for c in STUMP_FEATURES]
     bins = ", ".join(
         f"(select count(*) from edges e where e.pos = {i} and e.edge <= r.v{i}) + 1 as b{i}" for i in range(len(cols))
     )
     vals = ", ".join(f"cast({c} as double) as v{i}" for i, c in enumerate(cols))
+    target = "cast(tip_pct > 0 as int)::DOUBLE" if logistic else "cast(cast(tip_pct as float) as double)"
+    start = "ln(avg(y) / (1e0 - avg(y)))" if logistic else "avg(y)"
+    chance = "(1e0 / (1e0 + exp(-pred)))"
+    grad = f"{chance} - y" if logistic else "pred - y"
+    hess = f"sum({chance} * (1e0 - {chance}))" if logistic else "count(*)"
+    error = "avg(ln(1e0 + exp(pred)) - y * pred)" if logistic else "sqrt(avg((pred - y) * (pred - y)))"
+    names_of = ("train_loss", "valid_loss") if logistic else ("train_rmse", "valid_rmse")
     sql = f"""{SPLIT}, train as (select * from labelled where split = 'train'), {edge_ctes(STUMP_FEATURES, STUMP_BINS)},
 numbered as (select e.pos, e.edge, row_number() over (partition by pos order by edge) as b from edges e),
-vs as (select split, cast(cast(tip_pct as float) as double) as y, {vals} from labelled where split in ('train', 'valid')),
-base as (select avg(y) as m from vs where split = 'train'),
+vs as (select split, {target} as y, {vals} from labelled where split in ('train', 'valid')),
+base as (select {start} as m from vs where split = 'train'),
 s0 as (select r.split, r.y, {bins}, m as pred from vs r cross join base)"""
     for r in range(STUMP_ROUNDS):
         hist = " union all ".join(
-            f"select {i} as pos, b{i} as b, sum(pred - y) as g, count(*) as h from s{r} where split = 'train' group by 2"
+            f"select {i} as pos, b{i} as b, sum({grad}) as g, {hess} as h from s{r} where split = 'train' group by 2"
             for i in range(len(cols))
         )
         right = " or ".join(f"(pos = {i} and b{i} > b)" for i in range(len(cols)))
@@ -199,17 +206,26 @@ b{r}_best as (select *, gl*gl/(hl+1e0) + (gt-gl)*(gt-gl)/(ht-hl+1e0) - gt*gt/(ht
 w{r} as (select pos, b, gain, hl, -0.5e0*gl/(hl+1e0) as lw, -0.5e0*(gt-gl)/(ht-hl+1e0) as rw from b{r}_best),
 s{r + 1} as (select split, y, {keep}, pred + case when {right} then rw else lw end as pred from s{r} cross join w{r})"""
     names = "case w.pos " + " ".join(f"when {i} then '{c}'" for i, c in enumerate(STUMP_FEATURES)) + " end"
+    if gains_only:
+        return sql + "\n" + " union all ".join(f"select {names} as feature, w.gain from w{r} w" for r in range(STUMP_ROUNDS))
     rows = " union all ".join(
         f"""select cast({r} as int) as round, {names} as feature, {q6('n.edge')} as edge, {q6('w.gain')} as gain,
-  cast(w.hl as double) as n_left, {q6('w.lw')} as left_weight, {q6('w.rw')} as right_weight,
-  (select {q6('sqrt(avg((pred - y) * (pred - y)))')} from s{r + 1} where split = 'train') as train_rmse,
-  (select {q6('sqrt(avg((pred - y) * (pred - y)))')} from s{r + 1} where split = 'valid') as valid_rmse
+  {q6('w.hl')} as n_left, {q6('w.lw')} as left_weight, {q6('w.rw')} as right_weight,
+  (select {q6(error)} from s{r + 1} where split = 'train') as {names_of[0]},
+  (select {q6(error)} from s{r + 1} where split = 'valid') as {names_of[1]}
   from w{r} w join numbered n on n.pos = w.pos and n.b = w.b"""
         for r in range(STUMP_ROUNDS)
     )
     return f"{sql}\n{rows}"
 
 
+def gains() -> str:
+    """Average gain per feature over the rounds of ``stumps``."""
+    names = " union all ".join(f"select '{c}' as feature" for c in STUMP_FEATURES)
+    return f"""with splits as ({stumps(gains_only=True)}), names as ({names})
+select feature, {q6('coalesce(avg(gain), 0e0)')} as gain from names left join splits using (feature) group by 1"""
+
+
 CURVES = """with rounds as (select l_partkey as trial, cast(l_quantity as int) as boost_round,
   sum(l_orderkey % 997)::DOUBLE / count(*) as valid_rmse from lineitem group by 1, 2)"""
 
@@ -368,6 +384,8 @@ select slot, cast(feature as int) as feature, cast(bin as int) as bin, mr as mis
         "categorical_order": f"""{SCAN} select slot, cast(bin as int) as bin, pos,
   {q6('greatest(gain_left, gain_right) / 1e12')} as gain from scan where feature = 2""",
         "boost_stumps": stumps(),
+        "boost_logistic": stumps(logistic=True),
+        "model_gains": gains(),
         "early_stop": f"""{CURVES}, a as (select *, min(valid_rmse) over (partition by trial order by boost_round
     rows between unbounded preceding and 1 preceding) as before from rounds),
 b as (select *, max(case when before is null or valid_rmse < before then boost_round end)

@@ -19,11 +19,11 @@ from ..operators import clean as cl
 from ..operators import curves, evaluate, lookup, mllib, sampling
 from ..operators import split as sp
 from ..operators.binning import Binner, bin_edges
-from ..operators.boosting import BoostConfig, boost, write_binned
+from ..operators.boosting import BoostConfig, Ensemble, boost, write_binned
 from ..operators.features import clean_and_featurize, featurize
-from ..operators.fit import fit_final
-from ..operators.histogram import gradient, histogram
-from ..operators.model import average_gains
+from ..operators.fit import TIPPED, fit_final, fit_two_stage, with_tipped
+from ..operators.histogram import LOGISTIC, SQUARED, gradient, histogram
+from ..operators.model import Model, average_gains, saved_gains
 from ..operators.splits import best_splits, scan_splits
 from ..search import propose as tpe
 from ..search import rungs, runner
@@ -340,14 +340,18 @@ def categorical_order(spark, d):
     return scan.select("slot", "bin", F.col("pos").cast("bigint").alias("pos"), q6(F.col("gain") / 1e12).alias("gain"))
 
 
-def boost_stumps(spark, d):
-    """Three depth-1 rounds of the training loop, as the split chosen in each round."""
-    f = features_of(spark, d)
+def _stumps(spark, f: dict[str, DataFrame], objective: str) -> tuple[Binner, Ensemble]:
+    """Three depth-1 rounds of the training loop."""
     binner = Binner.fit(f["train"], STUMP_FEATURES, [], max_bins=STUMP_BINS)
     binned, path = write_binned(spark, binner, f["train"], f["valid"])
     config = BoostConfig(max_depth=1, learning_rate=0.5)
-    e = boost(binned, binner, {0: config}, max_rounds=STUMP_ROUNDS)[0]
+    e = boost(binned, binner, {0: config}, max_rounds=STUMP_ROUNDS, objective=objective)[0]
     drop_path(spark, path)
+    return binner, e
+
+
+def _stump_rows(spark, binner: Binner, e: Ensemble, errors: tuple[str, str]) -> DataFrame:
+    """The split chosen in each round."""
     rows = []
     for r, t in enumerate(e.trees):
         cut = min(b for b in range(1, binner.stride) if t.right[0] >> b & 1)
@@ -357,10 +361,31 @@ def boost_stumps(spark, d):
     out = spark.createDataFrame(
         rows,
         "round int, feature string, edge double, gain double, n_left double, left_weight double, "
-        "right_weight double, train_rmse double, valid_rmse double",
+        f"right_weight double, {errors[0]} double, {errors[1]} double",
     )
-    names = ("edge", "gain", "left_weight", "right_weight", "train_rmse", "valid_rmse")
-    return rounded(out, *names)
+    return rounded(out, "edge", "gain", "n_left", "left_weight", "right_weight", *errors)
+
+
+def boost_stumps(spark, d):
+    binner, e = _stumps(spark, features_of(spark, d), SQUARED)
+    return _stump_rows(spark, binner, e, ("train_rmse", "valid_rmse"))
+
+
+def boost_logistic(spark, d):
+    """The same rounds for the question whether a trip is tipped at all."""
+    f = {n: with_tipped(df) for n, df in features_of(spark, d).items()}
+    f = {n: df.withColumn(S.TARGET, F.col(TIPPED)) for n, df in f.items()}
+    binner, e = _stumps(spark, f, LOGISTIC)
+    return _stump_rows(spark, binner, e, ("train_loss", "valid_loss"))
+
+
+def model_gains(spark, d):
+    """Average gain per feature from the node table of a saved model."""
+    f = features_of(spark, d)
+    binner, e = _stumps(spark, f, SQUARED)
+    folder = scratch_path(spark, "model")
+    Model(binner, e).save(spark, folder)
+    return rounded(saved_gains(spark, folder), "gain")
 
 
 # ---- curves, rungs, search --------------------------------------------------------------
@@ -499,6 +524,13 @@ def ridge_baseline(spark, d):
 
 
 def two_stage(spark, d):
+    """Chance of a tip times its expected size, both from boosted trees."""
+    f = features_of(spark, d)
+    model = fit_two_stage(f["train"], f["valid"], {"max_depth": 3}, max_rounds=3, max_bins=64)
+    return evaluate.test_metrics(model.score(f["test"], keep=[S.TARGET]), _train_mean(f))
+
+
+def two_stage_linear(spark, d):
     f = features_of(spark, d)
     models = mllib.fit_two_stage(f["train"])
     return evaluate.test_metrics(mllib.predict_two_stage(models, f["test"]), _train_mean(f))
@@ -545,6 +577,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "missing_direction": missing_direction,
         "categorical_order": categorical_order,
         "boost_stumps": boost_stumps,
+        "boost_logistic": boost_logistic,
+        "model_gains": model_gains,
         "early_stop": early_stop,
         "report_rows": report_rows,
         "asha_cutoffs": asha_cutoffs,
@@ -561,6 +595,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "fit_mllib": fit_mllib,
         "ridge_baseline": ridge_baseline,
         "two_stage": two_stage,
+        "two_stage_linear": two_stage_linear,
         "search_small": search_small,
     }
     for rule in cl.RULES:

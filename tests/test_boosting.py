@@ -365,3 +365,64 @@ def test_first_look_is_bounded(spark):
     """Buckets per power of two, however many values."""
     df = spark.range(200_000).select(((F.col("id") * 0.61803398875 % 1) + 1).alias("v"))
     assert bucket_counts(df, ["v"]).count() <= 1 + (1 << 11)
+
+
+def test_saved_table_scores_without_loading(spark, months, tmp_path, monkeypatch):
+    log, folder = str(tmp_path / "log"), str(tmp_path / "m")
+    model = fit(months["train"], months["valid"], {"max_depth": 3, "learning_rate": 0.5}, max_rounds=4, max_bins=32, log_folder=log)
+    model.save(spark, folder, RoundLog(log).nodes(spark, 0))
+    rows = months["test"].limit(500)
+    keep = [c for c in rows.columns if c in ("PULocationID", "trip_distance")]
+    want = model.score(rows, keep=keep).orderBy(*keep, "prediction").toPandas()
+    for size in (1 << 28, 1):  # all trees in one block; a block per tree
+        monkeypatch.setattr(model_module, "_BLOCK_BYTES", size)
+        got = model_module.score_saved(spark, folder, rows, keep).orderBy(*keep, "prediction").toPandas()
+        assert np.allclose(got["prediction"], want["prediction"], atol=1e-12)
+    by_feature = {r["feature"]: r["gain"] for r in model_module.saved_gains(spark, folder).collect()}
+    assert by_feature == pytest.approx({r["feature"]: r["gain"] for r in model.gains(spark).collect()})
+    again = Model.load(spark, folder)
+    same_trees(model.ensemble, again.ensemble)
+
+
+def test_large_model_scores_from_its_table(spark, tmp_path, monkeypatch):
+    """1,100 full trees of depth 12: nine million nodes, none of them loaded as a tree."""
+    trees, size, inner = 1100, (1 << 13) - 1, (1 << 12) - 1
+    binner = Binner(("a", "b"), ((1.0, 2.0, 3.0), (0.5,)), (), ())
+    folder = str(tmp_path / "big")
+    e = B.Ensemble(B.BoostConfig(max_depth=12), 0.5, train_rmse=[0.0] * trees, valid_rmse=[0.0] * trees, best_round=trees - 1)
+    nodes = spark.range(trees * size).selectExpr(
+        f"cast(id div {size} as int) as round", f"cast(id % {size} as int) as node", f"id % {size} as place",
+        f"cast(if(id % {size} < {inner}, id * 7 % 13 % 2, -1) as int) as feature",
+        f"cast(if(id % {size} < {inner}, id % {size} * 2 + 1, -1) as int) as child",
+        "array(id * 11 % 31) as right", "0e0 as gain", "0e0 as cover", "(id * 17 % 1009) / 1e3 as weight",
+    )
+    Model(binner, e).save(spark, folder, nodes)
+    rows = [(0.5, 0.1), (1.5, 0.9), (9.0, None), (None, 0.5), (2.0, 0.4)]
+    df = spark.createDataFrame(rows, "a double, b double")
+    bins = [[0 if v is None else 1 + sum(x <= v for x in e) for v, e in zip(r, binner.edges)] for r in rows]
+    want = []
+    for own in bins:
+        total = 0.5
+        for r in range(trees):
+            n = 0
+            while n < inner:
+                at = r * size + n
+                n = 2 * n + 1 + (at * 11 % 31 >> own[at * 7 % 13 % 2] & 1)
+            total += (r * size + n) * 17 % 1009 / 1e3
+        want.append(total)
+    monkeypatch.setattr(model_module, "_BLOCK_BYTES", 64 << 20)  # five blocks
+    got = model_module.score_saved(spark, folder, df, ["a", "b"]).collect()
+    by = {(r["a"], r["b"]): r["prediction"] for r in got}
+    assert [by[r] for r in rows] == pytest.approx(want, abs=1e-6)
+
+
+def test_two_stages(spark, months):
+    from meterline.operators.fit import fit_two_stage
+
+    model = fit_two_stage(months["train"], months["valid"], {"max_depth": 2}, max_rounds=2, max_bins=16)
+    rows = months["test"].limit(300)
+    got = model.score(rows, keep=["trip_distance"]).toPandas()
+    chance = model.chance.score(rows, keep=["trip_distance"]).toPandas()["prediction"]
+    assert len(got) == 300 and ((chance > 0) & (chance < 1)).all()
+    amount = model.amount.score(rows, keep=["trip_distance"]).toPandas()["prediction"]
+    assert np.allclose(np.sort(got["prediction"]), np.sort(chance * amount), atol=1e-12)
