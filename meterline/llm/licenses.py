@@ -17,6 +17,7 @@ labels and score 0. Repeated rows are each returned. Other columns are ignored.
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -143,23 +144,54 @@ def _spaces(s: Column) -> Column:
     return F.length(s) - F.length(F.replace(s, F.lit(" "), F.lit("")))
 
 
+#: Elements handled at once where an array is read in order.
+CHUNK = 256
+
+
+def running(items: Column, zero: Column, kind: str, step: Callable[[Column, Column], tuple[Column, Column]]) -> Column:
+    """Reads an array in order with a state; the joined results.
+
+    ``step`` takes state and element and gives the next state and an array of ``kind``. An array that grows
+    by one element a time is copied whole each time, so results grow in chunks, and chunks are joined: n
+    elements cost some n * CHUNK copies, not n * n. The array is bound once, so that it's computed once.
+    """
+
+    def chunk(state: Column, part: Column) -> Column:
+        start = F.struct(state.alias("state"), F.array().cast(f"array<{kind}>").alias("out"))
+
+        def one(a: Column, x: Column) -> Column:
+            after, more = step(a["state"], x)
+            return F.struct(after.alias("state"), F.concat(a["out"], more).alias("out"))
+
+        return F.aggregate(part, start, one)
+
+    def whole(every: Column) -> Column:
+        start = F.struct(zero.alias("state"), F.array().cast(f"array<array<{kind}>>").alias("out"))
+
+        def one(a: Column, at: Column) -> Column:
+            done = F.array(chunk(a["state"], F.slice(every, at, CHUNK)))
+            return F.get(
+                F.transform(done, lambda r: F.struct(r["state"].alias("state"), F.concat(a["out"], F.array(r["out"])).alias("out"))), 0
+            )
+
+        chunks = F.sequence(F.lit(1), F.greatest(F.size(every), F.lit(1)), F.lit(CHUNK))
+        return F.flatten(F.aggregate(chunks, start, one)["out"])
+
+    return F.get(F.transform(F.array(items), whole), 0)
+
+
 def _intervals(norm: Column, rule: Column) -> Column:
     """Intervals of a rule's matches: the text between them tells how many words come before."""
     matched = F.transform(F.regexp_extract_all(norm, rule["pattern"], F.lit(0)), lambda m: _spaces(m) + 1)
     gaps = F.transform(F.split(norm, rule["pattern"], -1), _spaces)
     # A match of w words takes w - 1 spaces; the text's first space precedes word 0.
     steps = F.zip_with(gaps, matched, lambda g, w: F.struct(g.alias("g"), w.alias("w")))
-    start = F.aggregate(
-        F.filter(steps, lambda s: s["w"].isNotNull()),
-        F.struct(F.lit(-1).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("out")),
-        lambda a, s: F.struct(
-            (a["at"] + s["g"] + s["w"] - 1).alias("at"),
-            F.concat(
-                a["out"],
-                F.array(F.struct((a["at"] + s["g"]).alias("start"), (a["at"] + s["g"] + s["w"]).alias("end"))),
-            ).alias("out"),
-        ),
-    )["out"]
+
+    def step(at: Column, s: Column) -> tuple[Column, Column]:
+        start = at + s["g"]
+        return start + s["w"] - 1, F.array(F.struct(start.alias("start"), (start + s["w"]).alias("end")))
+
+    start = running(F.filter(steps, lambda s: s["w"].isNotNull()), F.lit(-1), "struct<start:int,end:int>", step)
     return F.transform(
         start,
         lambda x: F.struct(
@@ -174,26 +206,32 @@ def _intervals(norm: Column, rule: Column) -> Column:
     )
 
 
-def _suppressed(found: Column) -> Column:
-    """Indices of the intervals (in order of start, then longest first) that lie within a stronger one.
+def _unsuppressed(found: Column) -> Column:
+    """The intervals (in order of start, then longest first) that lie within no stronger one.
 
     What begins earlier, or begins there and is longer, contains an interval if it ends no sooner. So
     the furthest end so far of each priority tells, in one pass.
     """
     reach = F.array(*[F.lit(-1) for _ in PRIORITIES])
-    zero = F.struct(reach.alias("reach"), F.array().cast("array<boolean>").alias("out"))
 
-    def step(a: Column, d: Column) -> Column:
+    def step(a: Column, d: Column) -> tuple[Column, Column]:
         priority, end = -d["minus_priority"], -d["minus_end"]
-        inside = F.exists(
-            F.transform(a["reach"], lambda r, k: (k + 1 >= priority) & (r >= end)), lambda x: x
-        )
-        return F.struct(
-            F.transform(a["reach"], lambda r, k: F.when(k + 1 == priority, F.greatest(r, end)).otherwise(r)).alias("reach"),
-            F.concat(a["out"], F.array(inside)).alias("out"),
-        )
+        inside = F.exists(F.transform(a, lambda r, k: (k + 1 >= priority) & (r >= end)), lambda x: x)
+        after = F.transform(a, lambda r, k: F.when(k + 1 == priority, F.greatest(r, end)).otherwise(r))
+        return after, F.filter(F.array(d), lambda _: ~inside)
+
+    return running(found, reach, INTERVAL, step)
 
-    return F.aggregate(found, zero, step)["out"]
+
+INTERVAL = "struct<start:int,minus_end:int,minus_priority:int,rank:int,label:string,confidence:double,base:boolean>"
+
+
+def _settled(df: DataFrame, *columns: str) -> DataFrame:
+    """The columns, computed once: the planner does not copy them into what is made of them later.
+
+    It moves no expression through a condition on the row's place.
+    """
+    return df.select(*columns, F.monotonically_increasing_id().alias("_place")).filter("_place >= 0").drop("_place")
 
 
 def detect(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
@@ -211,15 +249,13 @@ def detect(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
     df = df.withColumn("_held", F.when(gate, held).otherwise(F.array().cast("array<string>")))
     norm = F.col("_norm")
     chosen = F.filter(literal, lambda r: F.array_contains(F.col("_held"), r["keyword"]))
-    every = F.array_sort(F.flatten(F.transform(chosen, lambda r: _intervals(norm, r))))
-    empty = F.array().cast(
-        "array<struct<start:int,minus_end:int,minus_priority:int,rank:int,label:string,confidence:double,base:boolean>>"
-    )
-    df = df.withColumn("_every", F.when(F.size("_held") > 0, every).otherwise(empty))
+    every = F.sort_array(F.flatten(F.transform(chosen, lambda r: _intervals(norm, r))))
+    empty = F.array().cast(f"array<{INTERVAL}>")
+    df = _settled(df.withColumn("_every", F.when(F.size("_held") > 0, every).otherwise(empty)), "doc_id", "n_words", "_every")
     df = df.withColumn("_base", F.filter("_every", lambda d: d["base"]))
-    df = df.withColumn("_method", F.filter("_every", lambda d: ~d["base"]))
-    df = df.withColumn("_drop", _suppressed(F.col("_method")))
-    left = F.filter("_method", lambda d, i: ~F.get(F.col("_drop"), i))
+    method = F.filter("_every", lambda d: ~d["base"])
+    df = df.withColumn("_left", F.when(F.size("_every") > 0, _unsuppressed(method)).otherwise(empty))
+    df = _settled(df, "doc_id", "n_words", "_base", "_left")
 
     def public(a: Column) -> Column:
         return F.transform(
@@ -233,7 +269,7 @@ def detect(docs: DataFrame, id_col="doc_id", text_col="text") -> DataFrame:
             ),
         )
 
-    return df.select("doc_id", "n_words", public(F.col("_base")).alias("base"), public(left).alias("found"))
+    return df.select("doc_id", "n_words", public(F.col("_base")).alias("base"), public(F.col("_left")).alias("found"))
 
 
 def _labels(*spans: Column) -> Column:
