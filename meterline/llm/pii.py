@@ -9,7 +9,7 @@ document are at most its nodes, however often a token repeats. Marginals come fr
 sum-product message passing with a fixed number of damped rounds. A number that the patterns find
 once, say with its ``+``, so pulls its other occurrences along if their context allows it.
 
-Training (piecewise, on a bounded sample of documents, labels from the fixed patterns): the unary
+Training (piecewise, on a bounded sample of whole documents, labels from the fixed patterns): the unary
 part is a maximum-entropy model over token shape and context features, none of which is the
 patterns' verdict; the transition and skip parts are log ratios of how often labels meet on such an
 edge to how often they would by chance. At inference, nodes in fixed spans are observed.
@@ -24,8 +24,8 @@ a field that adds nothing. Positions are code points, ends exclusive. Repeated r
 from __future__ import annotations
 
 import re
-from collections import defaultdict
-from collections.abc import Iterator
+from collections import Counter
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -39,13 +39,14 @@ LABELS = ("none", *KINDS)
 #: Fixed patterns, by the query's contract. An e-mail address is sought from its @.
 LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
+#: A match that fails from a run's first digit fails from its others too, so only the first is tried.
+IP = re.compile(r"(?<![0-9])[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
-#: Documents the field is trained on at most (expected number) and their length.
+#: Documents the field is trained on at most, and sets of features and label from them (expected numbers).
 TRAIN_DOCS = 3000
-TRAIN_CHARS = 20_000
+TRAIN_ROWS = 100_000
 #: Message rounds, damping, the marginal a token needs, digits an added span needs.
 ROUNDS = 8
 DAMPING = 0.5
@@ -98,7 +99,8 @@ def fixed_spans(text: str) -> list[tuple[str, int, int]]:
 
 # ---- the field --------------------------------------------------------------------------
 
-TOKEN = re.compile(r"\S*[0-9@]\S*")
+TOKEN = re.compile(r"\S+")
+MARK = re.compile(r"[0-9@]")
 FEATURES = 1 << 12
 
 
@@ -106,6 +108,8 @@ def nodes_of(text: str) -> list[tuple[int, int, str]]:
     """Tokens that can carry a kind, without enclosing punctuation."""
     out = []
     for m in TOKEN.finditer(text):
+        if not MARK.search(text, m.start(), m.end()):
+            continue
         own = m.group().strip(".,;:!?\"'|<>[]{}")
         if own:
             start = m.start() + m.group().index(own)
@@ -171,27 +175,46 @@ def node_labels(nodes: list[tuple[int, int, str]], fixed: list[tuple[str, int, i
     return out
 
 
+NODE, CHAIN, SKIP = range(3)
+
+
+def _counted(texts: Iterable[str]) -> Counter:
+    """How often nodes of each features and label occur, and pairs of labels on chain and skip edges."""
+    out: Counter = Counter()
+    for text in texts:
+        nodes = nodes_of(text)
+        labels = node_labels(nodes, fixed_spans(text))
+        out.update((NODE, tuple(features(text, nodes, i)), labels[i]) for i in range(len(nodes)))
+        out.update(
+            (CHAIN, (labels[i - 1], labels[i]), 0) for i in range(1, len(nodes)) if nodes[i][0] - nodes[i - 1][1] <= 2
+        )
+        out.update((SKIP, (labels[i], labels[j]), 0) for i, j in skip_edges(nodes))
+    return out
+
+
 class SkipChain:
     def __init__(self, unary: np.ndarray, chain: np.ndarray, skip: np.ndarray):
         self.unary, self.chain, self.skip = unary, chain, skip
 
     @classmethod
     def fit(cls, texts: list[str], rounds: int = 60) -> SkipChain:
-        rows, y, chain, skip = [], [], np.ones((5, 5)), np.ones((5, 5))
-        for text in texts:
-            nodes = nodes_of(text)
-            labels = node_labels(nodes, fixed_spans(text))
-            rows += [features(text, nodes, i) for i in range(len(nodes))]
-            y += labels
-            for i in range(1, len(nodes)):
-                if nodes[i][0] - nodes[i - 1][1] <= 2:
-                    chain[labels[i - 1], labels[i]] += 1
-            for i, j in skip_edges(nodes):
-                skip[labels[i], labels[j]] += 1
+        return cls.of_counts([(*key, n) for key, n in _counted(texts).items()], rounds)
+
+    @classmethod
+    def of_counts(cls, counts: list[tuple[int, tuple[int, ...], int, int]], rounds: int = 60) -> SkipChain:
+        """Learns from counts as ``_counted`` gives them, in any order."""
+        rows, y, seen, chain, skip = [], [], [], np.ones((5, 5)), np.ones((5, 5))
+        for kind, key, label, n in sorted(counts):
+            if kind == NODE:
+                rows.append(key)
+                y.append(label)
+                seen.append(n)
+            else:
+                (chain if kind == CHAIN else skip)[key[0], key[1]] += n
         weight = np.zeros((FEATURES, 5))
         weight[_hashed("bias"), 0] = 4.0  # without any evidence: none
         if rows:
-            x, y = np.array(rows), np.array(y)
+            x, y, n = np.array(rows), np.array(y), np.array(seen, float)[:, None]
             want = np.eye(5)[y]
             step = np.zeros_like(weight)
             for _ in range(rounds):  # full-batch ascent with per-weight steps
@@ -200,7 +223,7 @@ class SkipChain:
                 p /= p.sum(axis=1, keepdims=True)
                 grad = np.zeros_like(weight)
                 for k in range(x.shape[1]):
-                    np.add.at(grad, x[:, k], want - p)
+                    np.add.at(grad, x[:, k], n * (want - p))
                 grad -= 0.01 * weight
                 step += grad * grad
                 weight += 0.5 * grad / np.sqrt(step + 1e-8)
@@ -272,10 +295,24 @@ def _ordered(spans):
 
 
 def train(docs: DataFrame, id_col="doc_id", text_col="text", limit: int = TRAIN_DOCS) -> SkipChain:
-    """The field of about ``limit`` documents with digits at most, those of the lowest hashes."""
+    """The field of about ``limit`` whole documents with digits at most, those of the lowest hashes.
+
+    Tasks read the texts; what comes to the driver are counts, of about ``TRAIN_ROWS`` different sets of features at most.
+    """
     some = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    some = some.filter(f"length(text) <= {TRAIN_CHARS} and text rlike '[0-9][0-9]'")
-    return SkipChain.fit(sorted(t for (t,) in thinned(some, limit, "id", "text").select("text").collect()))
+    some = thinned(some.filter("text rlike '[0-9][0-9]'"), limit, "id", "text").select("text")
+
+    def step(rows: Iterator[tuple]) -> Iterator[tuple]:
+        for (text,) in rows:
+            for (kind, key, label), n in _counted([text]).items():
+                yield kind, list(key), label, n
+
+    counts = map_rows(some, step, "kind int, key array<int>, label int, n long")
+    counts = counts.groupBy("kind", "key", "label").agg(F.sum("n").alias("n")).persist()
+    nodes = thinned(counts.filter(f"kind = {NODE}"), TRAIN_ROWS, "key", "label")
+    found = nodes.union(counts.filter(f"kind <> {NODE}")).collect()
+    counts.unpersist()
+    return SkipChain.of_counts([(r["kind"], tuple(r["key"]), r["label"], r["n"]) for r in found])
 
 
 def _scan_step(field):
