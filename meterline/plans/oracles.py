@@ -172,7 +172,7 @@ scan as (select *, {gain('gl', 'hl', '(feature <> 2 or least(pos, n_present - po
   {gain('(gl + gm)', '(hl + hm)', '(feature <> 2 or least(pos, n_present - pos) <= 64)')} as gain_left from sided)"""
 
 
-def stumps(logistic: bool = False, gains_only: bool = False) -> str:
+def stumps(logistic: bool = False, gains_only: bool = False, scored: str = "") -> str:
     """Three rounds of one-split trees over three binned columns, lambda 1, rate 0.5."""
     cols = [f32(c) for c in STUMP_FEATURES]
     bins = ", ".join(
@@ -188,7 +188,7 @@ def stumps(logistic: bool = False, gains_only: bool = False) -> str:
     names_of = ("train_loss", "valid_loss") if logistic else ("train_rmse", "valid_rmse")
     sql = f"""{SPLIT}, train as (select * from labelled where split = 'train'), {edge_ctes(STUMP_FEATURES, STUMP_BINS)},
 numbered as (select e.pos, e.edge, row_number() over (partition by pos order by edge) as b from edges e),
-vs as (select split, {target} as y, {vals} from labelled where split in ('train', 'valid')),
+vs as (select split, {target} as y, {vals} from labelled where split in ('train', 'valid', 'test')),
 base as (select {start} as m from vs where split = 'train'),
 s0 as (select r.split, r.y, {bins}, m as pred from vs r cross join base)"""
     for r in range(STUMP_ROUNDS):
@@ -206,6 +206,10 @@ b{r}_best as (select *, gl*gl/(hl+1e0) + (gt-gl)*(gt-gl)/(ht-hl+1e0) - gt*gt/(ht
 w{r} as (select pos, b, gain, hl, -0.5e0*gl/(hl+1e0) as lw, -0.5e0*(gt-gl)/(ht-hl+1e0) as rw from b{r}_best),
 s{r + 1} as (select split, y, {keep}, pred + case when {right} then rw else lw end as pred from s{r} cross join w{r})"""
     names = "case w.pos " + " ".join(f"when {i} then '{c}'" for i, c in enumerate(STUMP_FEATURES)) + " end"
+    if scored:
+        return f"""{sql}
+select {q6('pred')} as prediction, cast(1 as int) as model_version, count(*) as n_rows from s{STUMP_ROUNDS}
+where split = '{scored}' group by 1"""
     if gains_only:
         return sql + "\n" + " union all ".join(f"select {names} as feature, w.gain from w{r} w" for r in range(STUMP_ROUNDS))
     rows = " union all ".join(
@@ -334,6 +338,11 @@ def oracle_sql() -> dict[str, str]:
         "pinned_codes": WITH + f"select {KEY}, " + ", ".join(f"{e} as {c}" for c, e in CODES.items()) + " from trips",
         "feature_matrix": MATRIX,
         "stream_features": MATRIX,
+        "stream_scores": stumps(scored="test"),
+        "load_months": WITH
+        + f"""select strftime({PU}, '%Y-%m') as src_month, count(*) as n_rows, count(*) as n_keys,
+  cast(sum(payment_type) as bigint) as payment_sum, cast(sum(PULocationID) as bigint) as zone_sum, min({PU}) as first_pickup
+from trips group by 1""",
         "temporal_split_counts": WITH
         + f"""select split, count(*) as n_rows, min({PU}) as first_pickup, max({PU}) as last_pickup
   from derived where split is not null group by 1""",

@@ -28,10 +28,10 @@ from ..operators.splits import best_splits, scan_splits
 from ..search import propose as tpe
 from ..search import rungs, runner
 from ..search.space import SPACE, draw_configs
-from ..session import drop_path, scratch_path, tune
-from ..sources.months import conform
+from ..session import drop_path, list_folder, scratch_path, tune
+from ..sources.months import conform, load_months
 from ..sources.trips import TRIP_KEY, line_trips, trips_of
-from ..streaming.pipeline import run_available
+from ..streaming.pipeline import ModelVersions, run_available, score_batches
 
 YEARS = {"train": [1995, 1996, 1997, 1998, 1999], "valid": [2000], "test": [2001]}
 SHARES = {"train": 0.7, "valid": 0.15, "test": 0.15}
@@ -184,6 +184,46 @@ def stream_feature_matrix(spark, d):
     return rounded(spark.read.parquet(f"{root}/out"), *S.NUMERIC_FEATURES, S.TARGET)
 
 
+def stream_scores(spark, d):
+    """Test rows scored through a file stream by the newest published model, counted by prediction."""
+    f = features_of(spark, d)
+    binner, e = _stumps(spark, f, SQUARED)
+    e.best_round = STUMP_ROUNDS - 1
+    root = scratch_path(spark, "scores")
+    versions = ModelVersions(f"{root}/models")
+    versions.publish(spark, Model(binner, e))
+    schema = table(spark, d, "lineitem").schema
+    lines = spark.readStream.schema(schema).option("pathGlobFilter", "lineitem.parquet").parquet(d)
+
+    def test_rows(batch: DataFrame) -> DataFrame:
+        trips = sp.split_by_year(trips_of(batch.sparkSession, batch), YEARS)
+        return clean_and_featurize(trips, keep=("split",)).filter("split = 'test'").drop("split")
+
+    score_batches(lines, versions, f"{root}/out", f"{root}/checkpoint", prepare=test_rows)
+    scored = spark.read.parquet(f"{root}/out")
+    return scored.groupBy(q6("prediction").alias("prediction"), "model_version").agg(F.count("*").alias("n_rows"))
+
+
+def load_months_query(spark, d):
+    """Month files written from the lines, odd months with other column types, read back as one table."""
+    trips = line_trips(spark, d).withColumn("m", F.date_format("tpep_pickup_datetime", "yyyy-MM"))
+    root = scratch_path(spark, "months")
+    odd = F.month("tpep_pickup_datetime") % 2 == 1
+    drifted = trips.withColumn("payment_type", F.col("payment_type").cast("double")).withColumn(
+        "PULocationID", F.col("PULocationID").cast("bigint")
+    )
+    for part, df in (("odd", drifted.filter(odd)), ("even", trips.filter(~odd))):
+        df.repartition("m").write.partitionBy("m").parquet(f"{root}/{part}")
+    paths = [f"{root}/{part}/{n}" for part in ("odd", "even") for n in list_folder(spark, f"{root}/{part}") if n.startswith("m=")]
+    return load_months(spark, sorted(paths)).groupBy("src_month").agg(
+        F.count("*").alias("n_rows"),
+        F.countDistinct("row_key").alias("n_keys"),
+        F.sum("payment_type").cast("bigint").alias("payment_sum"),
+        F.sum("PULocationID").cast("bigint").alias("zone_sum"),
+        F.min("tpep_pickup_datetime").alias("first_pickup"),
+    )
+
+
 # ---- splits, samples, evaluation --------------------------------------------------------
 
 
@@ -561,6 +601,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "pinned_codes": pinned_codes,
         "feature_matrix": feature_matrix,
         "stream_features": stream_feature_matrix,
+        "stream_scores": stream_scores,
+        "load_months": load_months_query,
         "temporal_split_counts": temporal_split_counts,
         "hash_sample": hash_sample,
         "capped_sample": capped_sample,

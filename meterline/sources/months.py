@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +17,8 @@ PathFn = Callable[[Iterable[Month]], list[str]]
 # Fixed value: the file name the publisher uses for a month.
 FILE_NAME = "yellow_tripdata_{year}-{month:02d}.parquet"
 
+FOOTERS = 16  # files whose schema is asked for at once
+
 
 def month_paths(base: str, months: Iterable[Month]) -> list[str]:
     """One path per month under any Hadoop folder (file, s3a, abfs, ...)."""
@@ -57,15 +60,18 @@ def load_months(
     """One table of the raw columns from all ``paths``.
 
     Month files may differ in column types, which a single scan rejects. Paths are grouped
-    by their footer's schema, so there is one scan per distinct schema, not per file.
+    by their footer's schema, so there is one scan per distinct schema, not per file. Footers
+    are read side by side.
     Adds ``src_month`` (from the path) and ``row_key`` (file and row position, which is
     the same on every re-read however Spark cuts the files).
     """
     if not paths:
         raise ValueError("no paths given")
     groups: dict[str, list[str]] = {}
-    for p in paths:
-        groups.setdefault(spark.read.parquet(p).schema.json(), []).append(p)
+    with ThreadPoolExecutor(FOOTERS) as pool:
+        schemas = pool.map(lambda p: spark.read.parquet(p).schema.json(), paths)
+        for p, schema in zip(paths, schemas):
+            groups.setdefault(schema, []).append(p)
     out = None
     for members in groups.values():
         df = conform(with_provenance(spark.read.parquet(*members)))

@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -6,7 +8,7 @@ from meterline.operators.features import clean_and_featurize
 from meterline.search import rungs, runner
 from meterline.search.propose import propose
 from meterline.search.space import SPACE, draw_configs
-from meterline.search.store import REPORTS, TrialStore
+from meterline.search.store import REPORTS, TRIALS, TrialStore
 from meterline.sources.synthetic import month_trips
 
 
@@ -100,3 +102,21 @@ def test_search_prunes_resumes_and_repeats(spark, tables, tmp_path):
         runner.run(tables[0], tables[1].limit(0), n_trials=1, **options)
     assert store.trials(spark, "a").count() == 5 and store.trials(spark, "none").count() == 0
     assert set(more.best_config) == {p.name for p in SPACE}
+
+
+def test_a_broken_append_leaves_nothing(spark, tmp_path):
+    """Trials and reports come in one commit; one whose write broke off is not read."""
+    store = TrialStore(str(tmp_path / "history"))
+    p = [4, 0.1, 0.8, 0.8, 1.0, 1.0, 0.0, 4]
+    trials = lambda i: spark.createDataFrame([("a/b c", i, *p, "finished", 0.5)], TRIALS)
+    reports = lambda i: spark.createDataFrame([("a/b c", i, 1, 1, 0.6, 2 * i), ("a/b c", i, 2, 25, 0.5, 2 * i + 1)], REPORTS)
+    for i in range(3):
+        store.append(trials(i), reports(i))
+    assert store.trials(spark, "a/b c").count() == 3 and store.reports(spark).count() == 6
+    broken = next(c for c in store.commits(spark) if spark.read.parquet(c).first()["trial_id"] == 1)
+    os.remove(f"{broken}/_SUCCESS")
+    assert sorted(r["trial_id"] for r in store.trials(spark, "a/b c").collect()) == [0, 2]
+    assert sorted({r["trial_id"] for r in store.reports(spark, "a/b c").collect()}) == [0, 2]
+    assert store.trials(spark).columns == trials(0).columns and store.reports(spark).columns == reports(0).columns
+    store.append(trials(7), spark.createDataFrame([], REPORTS))  # a trial without reports
+    assert store.trials(spark).count() == 3 and store.reports(spark).count() == 4
