@@ -215,6 +215,8 @@ def overlaps(docs: DataFrame, items: DataFrame, id_col="doc_id", item_col="item_
 
 def drop_contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """Documents that overlap no benchmark item; rows of one id, or of none, each by its own text."""
-    bad = _overlapping(docs, items, "doc_id", "item_id", "text").select("doc_id", "key").distinct().toDF("_bad", "_bad_key")
+    bad = _overlapping(docs, items, "doc_id", "item_id", "text").select("doc_id", "key").distinct()
+    # Written first: a short list is broadcast and no text moves; a long one is joined by hash.
+    bad = write_table(bad, scratch_path(docs.sparkSession, "contaminated")).toDF("_bad", "_bad_key")
     same = docs["doc_id"].eqNullSafe(bad["_bad"]) & (text_key(docs["text"]) == bad["_bad_key"])
     return docs.join(bad, same, "left_anti")

@@ -507,8 +507,16 @@ def connected(links: DataFrame, save) -> DataFrame:
         state = now
 
 
+def _written(job: JaccardJoin, df: DataFrame, label: str) -> DataFrame:
+    """A result as a table of known size; the run's other tables are removed."""
+    out = write_table(df, scratch_path(job.spark, f"jaccard-{label}"))
+    job.close()
+    return out
+
+
 def components(docs: DataFrame, **options) -> DataFrame:
-    return JaccardJoin(docs, **options).components()
+    job = JaccardJoin(docs, **options)
+    return _written(job, job.components(), "components")
 
 
 def keep_first(docs: DataFrame, **options) -> DataFrame:
@@ -518,7 +526,9 @@ def keep_first(docs: DataFrame, **options) -> DataFrame:
     id are decided on each by itself (the first by hash stays of those in one component), and rows
     without an id stay if their component has no other row before them.
     """
-    copies = JaccardJoin(docs, **options).copies().toDF("_copy", "_copy_key")
+    job = JaccardJoin(docs, **options)
+    # Written first: a short list is broadcast and no text moves; a long one is joined by hash.
+    copies = _written(job, job.copies(), "copies").toDF("_copy", "_copy_key")
     same = docs["doc_id"].eqNullSafe(copies["_copy"]) & (text_key(docs["text"]) == copies["_copy_key"])
     kept = docs.join(copies, same, "left_anti")
     return kept.dropDuplicates(["doc_id", "text"])
