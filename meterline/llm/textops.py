@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import ctypes.util
 import hashlib
 from collections.abc import Callable, Iterator
 
@@ -102,10 +104,20 @@ def map_rows(df: DataFrame, step: Callable[[Iterator[tuple]], Iterator[tuple]],
                 held, weight = [], 0
         if held:
             yield _batch(held, arrow)
+        _give_back()
 
     return df.mapInArrow(run, parsed)
 
 
+def _give_back() -> None:
+    """Returns memory that a task has freed to the system; workers live on and would keep it."""
+    pa.default_memory_pool().release_unused()
+    libc = ctypes.util.find_library("c")
+    trim = getattr(ctypes.CDLL(libc), "malloc_trim", None) if libc else None
+    if trim:
+        trim(0)
+
+
 SLICE = 256
 OUT_ROWS = 4096
 OUT_BYTES = 1 << 23
