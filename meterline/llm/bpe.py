@@ -25,7 +25,6 @@ from __future__ import annotations
 import json
 import unicodedata
 from collections.abc import Iterator
-from functools import lru_cache
 
 import ahocorasick
 import numpy as np
@@ -33,7 +32,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .textops import map_rows, sha256_hex
+from .textops import kept, map_rows, sha256_hex
 
 #: Words whose encoding a worker remembers (in each of two generations), and pairs whose compatibility it remembers.
 WORDS_KEPT = 1 << 17
@@ -204,9 +203,8 @@ class Bpe:
         return b" ".join([blob[offset[i] : offset[i + 1]] for i in ids]).decode()
 
 
-@lru_cache(maxsize=2)
 def vocabulary(path: str) -> Bpe:
-    return Bpe(path)
+    return kept(__name__, path, lambda: Bpe(path))
 
 
 def public_path(name: str = "word_bpe_49k.json") -> str:

@@ -9,8 +9,8 @@ Exact for any data: two documents link when ``100 * intersection >= percent * un
    minima, the one with the fewest rare shingles (of edited copies, the one edited least). Those
    found similar join that hub's group, at a known distance (length and suffix filter go first). Large groups of near copies become
    stars here: linear, never all pairs.
-3. *Prefix join between groups.* Shingles are ordered rare first, by a sketch of document
-   frequencies of fixed size (any total order gives the same result). Similar sets share a shingle
+3. *Prefix join between groups.* Shingles are ordered rare first, by a sketch of fixed size of
+   document frequencies, counted over all documents (any total order gives the same result). Similar sets share a shingle
    among their first ``n - ceil(t n) + 1``. Prefix shingles are joined on their hash; a token's rows
    of one group are combined first, so pairs within a group are never made. The length and
    positional filters are part of the join, the suffix filter (counts of the sets in fixed hash
@@ -47,8 +47,11 @@ PERCENT = 80
 MINIMA = 6
 #: Counters of the sketch of document frequencies (its broadcast takes four bytes each).
 SKETCH_BITS = 20
-#: Shingles gathered by a task before their repeats are counted.
+#: Shingles gathered by a task before their repeats are counted, cells in a row of a task's sketch, and
+#: documents beyond twice the mean from which a cell counts as frequent.
 SKETCH_BLOCK = 1 << 20
+SKETCH_PART = 1 << 10
+LEAST_SEEN = 8
 #: Bits of the filter that says whose sets a scan returns (2 MB).
 WANTED_BITS = 24
 #: Pairs of one class that are verified by one task, about.
@@ -92,31 +95,39 @@ def prefix_length(n: int, percent: int) -> int:
 
 
 def _scan_step(width: int, sketch_bits: int, block: int):
-    """Rows of the first scan: kind 0 per document, kind 1 per sketch cell with repeats."""
+    """Rows of the first scan: kind 0 per document, kind 1 per part of the task's sketch.
 
-    def repeats(held: list[np.ndarray]) -> Iterator[tuple]:
+    The sketch has two counters per cell: documents that hold one of its shingles, and those of them
+    whose shingle another document of the same block holds too.
+    """
+
+    def add(held: list[np.ndarray], seen: np.ndarray, again: np.ndarray) -> None:
         every = np.sort(np.concatenate(held))
         first = np.flatnonzero(np.r_[True, every[1:] != every[:-1]])
-        count = np.diff(np.r_[first, len(every)])
+        count = np.diff(np.r_[first, len(every)]).astype(np.int32)
+        cell = (every[first] >> np.uint64(64 - sketch_bits)).astype(np.int64)
+        np.add.at(seen, cell, count)
         often = count > 1
-        cell = (every[first[often]] >> np.uint64(64 - sketch_bits)).astype(np.int64)
-        cells, at = np.unique(cell, return_inverse=True)
-        for c, k in zip(cells.tolist(), np.bincount(at, count[often]).astype(np.int64).tolist(), strict=True):
-            yield 1, c, None, k, None
+        np.add.at(again, cell[often], count[often])
 
     def step(rows: Iterator[tuple]) -> Iterator[tuple]:
+        seen, again = np.zeros((2, 1 << sketch_bits), dtype=np.int32)
         held, size = [], 0
         for doc_id, key, text in rows:
             own = shingle_set(text, width)
-            yield 0, doc_id, class_id(own), len(own), key
+            yield 0, doc_id, class_id(own), len(own), key, None, None, None
             if len(own):
                 held.append(own)
                 size += len(own)
             if size >= block:
-                yield from repeats(held)
+                add(held, seen, again)
                 held, size = [], 0
         if held:
-            yield from repeats(held)
+            add(held, seen, again)
+        cells = np.flatnonzero(seen)
+        for at in range(0, len(cells), SKETCH_PART):
+            part = cells[at : at + SKETCH_PART]
+            yield 1, None, None, None, None, part.tolist(), seen[part].tolist(), again[part].tolist()
 
     return step
 
@@ -147,7 +158,7 @@ def _sets_step(width: int, wanted):
 
 def _class_step(width: int, percent: int, sketch):
     """Rows of the second scan: a class's size, prefix shingles rare first, minima, counts by range
-    and number of shingles that the sketch has not seen twice."""
+    and number of shingles that are not frequent."""
 
     def step(rows: Iterator[tuple]) -> Iterator[tuple]:
         weight = sketch.value
@@ -260,12 +271,22 @@ class JaccardJoin:
         return 100 * shared >= self.percent * (a + b - shared)
 
     def _scan(self) -> None:
-        schema = "kind int, id long, cls long, n long, key long"
+        schema = "kind int, id long, cls long, n long, key long, cell array<int>, seen array<int>, again array<int>"
         both = self._save(map_rows(self.keyed, _scan_step(self.width, SKETCH_BITS, SKETCH_BLOCK), schema), "scan")
         self.members = both.filter("kind = 0").select(F.col("id").alias("doc_id"), "key", "cls", "n")
-        cells = both.filter("kind = 1").groupBy("id").agg(F.sum("n").alias("n")).toArrow()
+        # Frequent: repeated within a block, or in a cell of more than twice the mean over all documents.
+        usual = 2 * (self.members.agg(F.sum("n")).first()[0] or 0) // (1 << SKETCH_BITS) + LEAST_SEEN
+        cells = (
+            both.filter("kind = 1")
+            .select(F.inline(F.arrays_zip("cell", "seen", "again")))
+            .groupBy("cell")
+            .agg(F.sum("seen").alias("seen"), F.sum("again").alias("again"))
+            .select("cell", F.greatest("again", F.col("seen") - usual).alias("n"))
+            .filter("n > 0")
+            .toArrow()
+        )
         sketch = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
-        sketch[cells["id"].to_numpy()] = cells["n"].to_numpy()
+        sketch[cells["cell"].to_numpy()] = cells["n"].to_numpy()
         self.sketch = self.spark.sparkContext.broadcast(np.minimum(sketch, 1 << 30).astype(np.int32))
         step = _class_step(self.width, self.percent, self.sketch)
         schema = "cls long, id long, n long, prefix binary, least array<long>, counts array<int>, rare long"

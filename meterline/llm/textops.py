@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import ctypes
 import ctypes.util
+import gc
 import hashlib
 from collections.abc import Callable, Iterator
 
@@ -86,7 +87,11 @@ def map_rows(df: DataFrame, step: Callable[[Iterator[tuple]], Iterator[tuple]],
     parsed = _parse_datatype_string(schema)
     arrow = to_arrow_schema(parsed)
 
+    owner = step.__module__
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _make_room(owner)
+
         def stream() -> Iterator[tuple]:
             for batch in batches:
                 # Slices keep few Python objects of a batch alive at a time.
@@ -109,6 +114,28 @@ def map_rows(df: DataFrame, step: Callable[[Iterator[tuple]], Iterator[tuple]],
     return df.mapInArrow(run, parsed)
 
 
+_kept: dict[tuple[str, str], object] = {}
+
+
+def kept(owner: str, name: str, build: Callable[[], object]):
+    """What a worker keeps from task to task (a vocabulary, say), until another module's step runs there.
+
+    Workers live on between stages, and the tables of all stages together would add up in each.
+    """
+    if (owner, name) not in _kept:
+        _kept[owner, name] = build()
+    return _kept[owner, name]
+
+
+def _make_room(owner: str) -> None:
+    other = [k for k in _kept if k[0] != owner]
+    for k in other:
+        del _kept[k]
+    if other:
+        gc.collect()
+        _give_back()
+
+
 def _give_back() -> None:
     """Returns memory that a task has freed to the system; workers live on and would keep it."""
     pa.default_memory_pool().release_unused()
