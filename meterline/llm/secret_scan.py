@@ -47,10 +47,17 @@ ASSIGN = re.compile(
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 
-#: Context words of candidates, lower case.
-SENSITIVE = (
-    "password", "passwd", "passphrase", "secret", "token", "api_key", "apikey", "access_key", "private",
-    "credential", "auth", "bearer", "signature", "client_id", "session", "cookie", "connection", "key",
+#: Context words of candidates: whole words, or the last part of an identifier in any style. The first
+#: group also counts at the end of a word written together (``dbpassword``).
+ANYWHERE = "password|passwd|passphrase|secret|token|credential|bearer|(?:api|access|private|public|secret|auth|signing|encryption)_?key"
+WHOLE = "key|private|auth|authori[sz]ation|authentication|signature|session|cookie|connection|client_?id|pwd"
+SENSITIVE = re.compile(
+    rf"(?i:{ANYWHERE})(?i:s|id)?(?![a-z])|(?<![A-Za-z])(?i:{WHOLE})(?i:s|id)?(?![a-z])"
+    + r"|(?<=[a-z])(?:Key|Private|Auth|Authori[sz]ation|Signature|Session|Cookie|Connection|ClientId|Pwd)s?(?![a-z])"
+)
+#: Every sensitive word holds one of these: a fast first test.
+STEMS = ("passw", "passphrase", "secret", "token", "credential", "bearer", "key", "private", "auth", "signature",
+    "session", "cookie", "connection", "client", "pwd",
 )
 #: Identifiers that code and its comments are full of; they prime the compressor.
 IDENTIFIERS = (
@@ -159,7 +166,7 @@ class _Context:
 
 def _sensitive(text: str) -> bool:
     low = text.lower()
-    return any(w in low for w in SENSITIVE)
+    return any(w in low for w in STEMS) and SENSITIVE.search(text) is not None
 
 
 def _blocks(text: str) -> list[tuple[int, int, int]]:

@@ -315,6 +315,23 @@ def test_jaccard_on_groups_of_edited_copies(spark, monkeypatch, seed, share):
     assert got == brute_components(texts)
 
 
+@pytest.mark.parametrize("block", [1, 1 << 20])
+def test_jaccard_of_a_passage_that_many_documents_share(spark, monkeypatch, block):
+    """Unlike documents with one passage make few candidate pairs, even if no block sees it twice."""
+    monkeypatch.setattr(jaccard, "SKETCH_BLOCK", block)
+    rng = random.Random(5)
+    passage = [f"p{k}" for k in range(24)]
+    rows = []
+    for i in range(400):
+        own = [f"w{rng.randrange(10**9)}" for _ in range(rng.randrange(60, 120))]
+        at = rng.randrange(len(own))
+        rows.append((i, " ".join(own[:at] + passage + own[at:])))
+    job = jaccard.JaccardJoin(spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    job._scan()
+    assert job._between(job._hubs()).count() < len(rows)
+    job.close()
+
+
 def test_keep_first(spark, some):
     kept = jaccard.keep_first(some)
     assert kept.columns == some.columns
@@ -454,6 +471,24 @@ def test_novel_secrets():
     assert [text[a:b] for a, b, _ in found] == ["Zk3vQ9xLr7TtW2mPb8NcY5uHs1"]
 
 
+KEY = "Zk3vQ9xLr7TtW2mPb8NcY5uHs1"
+
+
+@pytest.mark.parametrize(
+    "words",
+    ["auth", "authToken", "MY_API_KEY", "dbpassword", "session id", "Authorization: Bearer", "private_keys", "clientId", "userKey"],
+)
+def test_novel_secrets_by_sensitive_words(words):
+    assert novel_strings(f"{words} {KEY} end") == [KEY]
+
+
+@pytest.mark.parametrize(
+    "words", ["the author of this monkey story wrote the build", "keyboard", "obsession", "secretary of", "tokenizer", "turkey"]
+)
+def test_words_that_hold_sensitive_ones(words):
+    assert novel_strings(f"{words} {KEY} end") == []
+
+
 BASE64 = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
 
 
