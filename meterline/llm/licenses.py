@@ -4,9 +4,10 @@ A text is lower-cased (A-Z) and brought to words joined by single spaces. Every
 expression over that form with a keyword. A document's words select the rules whose keyword they
 hold; only those run. Each match is an interval of words with the rule's priority. An interval that
 lies within another of higher priority, or within a longer one (or an earlier rule's equal one) of
-the same priority, is suppressed. Rules come from a table of licenses and templates for how
-licenses are named, with the most explicit forms at the highest priority; the fixed phrases of the
-query's contract stand beside them and are never suppressed.
+the same priority, is suppressed. Rules are written by hand for license texts, notices and links
+(``license_rules``, highest priority); a table of licenses and templates for how they are named
+follows, the most explicit forms first. Further operands of an SPDX expression are rules of their own.
+The fixed phrases of the query's contract stand beside them and are never suppressed.
 
 All in DataFrame and SQL functions, row by row without a shuffle; the rule table is one literal.
 
@@ -23,6 +24,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .license_rules import KINDS
+
 #: Fixed phrases, by the query's contract.
 PHRASES = (("under the mit license", "mit"), ("apache license version 2", "apache-2"), ("cc by nc", "cc-by-nc"))
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -36,14 +39,14 @@ LICENSES = (
     ("gpl-2", "(?:gnu )?(?<!affero )(?<!lesser )(?<!library )general public license (?:version |v)?2(?: 0)?", "general"),
     ("gpl-2", "(?:gnu )?gpl (?:version |v)?2(?: 0)?", "gpl"),
     ("gpl-2", "gplv2", "gplv2"),
-    ("gpl-3", "gnu (?:general public license|gpl) (?:version |v)?3(?: 0)?", "gnu"),
+    ("gpl-3", "(?:gnu )?(?<!affero )(?<!lesser )general public license (?:version |v)?3(?: 0)?", "general"),
     ("gpl-3", "gpl (?:version |v)?3(?: 0)?", "gpl"),
     ("gpl-3", "gplv3", "gplv3"),
-    ("lgpl-2.1", "gnu (?:lesser|library) general public license (?:version |v)?2 1", "gnu"),
+    ("lgpl-2.1", "(?:gnu )?(?:lesser|library) general public license (?:version |v)?2 1", "general"),
     ("lgpl-2.1", "lgpl (?:version |v)?2 1", "lgpl"),
-    ("lgpl-3", "gnu lesser general public license (?:version |v)?3(?: 0)?", "gnu"),
+    ("lgpl-3", "(?:gnu )?lesser general public license (?:version |v)?3(?: 0)?", "lesser"),
     ("lgpl-3", "lgpl (?:version |v)?3(?: 0)?", "lgpl"),
-    ("agpl-3", "gnu affero general public license (?:version |v)?3(?: 0)?", "affero"),
+    ("agpl-3", "(?:gnu )?affero general public license (?:version |v)?3(?: 0)?", "affero"),
     ("agpl-3", "agpl (?:version |v)?3(?: 0)?", "agpl"),
     ("bsd-2", "(?:bsd 2 clause|2 clause bsd)", "clause"),
     ("bsd-2", "freebsd", "freebsd"),
@@ -103,17 +106,28 @@ TEMPLATES = (
     (3, 0.85, "(?:subject to|terms of|conditions of|pursuant to|under) (?:the )?N(?: licen[cs]e)?"),
     (2, 0.7, "(?:the )?N licen[cs]e"),
 )
+#: A later operand of an SPDX expression: a name after "or" or "and" some words behind the identifier's start.
+SPDX_OPERAND = "(?<=spdx license identifier [a-z0-9. ]{1,60} (?:or|and) )N(?: only| or later)?"
 #: Names clear enough to stand alone (they hold a version or are no common word).
 BARE_PRIORITY, BARE_CONFIDENCE = 1, 0.5
 COMMON = frozenset({"mit", "isc", "zlib", "postgresql", "psf-2", "public-domain", "mit-0"})
 
 
 def rule_table() -> list[dict]:
-    """All rules in order: fixed phrases, then templates by license, then bare names."""
+    """All rules in order: fixed phrases, written signatures, templates by license, bare names."""
     rules = [
         {"label": label, "pattern": phrase, "keyword": key, "priority": 9, "confidence": 1.0, "base": True}
         for (phrase, label), key in zip(PHRASES, ("mit", "apache", "cc"), strict=True)
     ]
+    for priority, confidence, signatures in KINDS:
+        rules += [
+            {"label": label, "pattern": pattern, "keyword": key, "priority": priority, "confidence": confidence, "base": False}
+            for label, key, pattern in signatures
+        ]
+    rules += [
+        {"label": label, "pattern": SPDX_OPERAND.replace("N", f"(?:{name})"), "keyword": "spdx", "priority": 5, "confidence": 1.0, "base": False}
+        for label, name, _ in LICENSES
+    ]
     for priority, confidence, form in TEMPLATES:
         rules += [
             {"label": label, "pattern": form.replace("N", f"(?:{name})"), "keyword": key, "priority": priority, "confidence": confidence, "base": False}
