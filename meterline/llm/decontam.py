@@ -8,9 +8,10 @@ joined with benchmark seeds on the hash, which gives alignments (region, item, o
 alignment is verified word by word: the best-scoring stretch, with a substitution costing two
 matches, must match ``MIN_MATCH`` words, or four fifths of a shorter item.
 
-Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased. Items of fewer than ``SHORT`` words have lighter
-masks besides, which fit every placing of substitutions that the verification takes; runs of one
-word less are sought of 5 or 6 words, and shorter items as a whole. A stretch is followed up to
+Words are ``[^\\x20\\x09-\\x0D]+`` with A-Z lower-cased. Two masks are lighter: with them, items of up to 14
+words are found at every placing of substitutions that the verification takes, longer ones at 98 in 100
+or more for each number of substitutions; runs of one word less are sought of 5 or 6 words, and shorter
+items as a whole. A stretch is followed up to
 ``REACH`` words from its seeds; longer overlaps have seeds of their own and are merged.
 
 Defined cases: null or empty texts on either side match nothing. Repeated rows of an item or a
@@ -29,12 +30,11 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 from .textops import _PLACE, bit_table, map_rows, mix, text_key, word_hashes, write_table
 
-#: The masks; each selects seven words.
+#: The masks that select seven words.
 MASKS = ("1111111", "1101011011", "110010110011", "1010011001011")
 WEIGHT = 7
-#: Masks of items of fewer words than ``SHORT``.
+#: The masks that select five.
 LIGHT = ("110111", "11100011")
-SHORT = 15
 #: Words that an overlap must match, and what a substitution costs in matches.
 MIN_MATCH = 12
 COST = 2
@@ -57,7 +57,7 @@ def seed_hashes(words: np.ndarray, mask: str, salt: int) -> np.ndarray:
 
 
 def all_masks() -> list[tuple[str, int]]:
-    """Masks with their salts; runs of fewer than ``WEIGHT`` words first, those of short items last."""
+    """Masks with their salts; runs of fewer than ``WEIGHT`` words first, the light ones last."""
     short = ["1" * n for n in range(1, WEIGHT)]
     return [(m, i) for i, m in enumerate([*short, *MASKS, *LIGHT])]
 
@@ -69,7 +69,7 @@ def masks_of(n: int) -> list[tuple[str, int]]:
         run = n if n < 5 else n - 1
         return [(m, s) for m, s in all_masks() if m == "1" * run or n == 6 and m == LIGHT[0]]
     every = all_masks()[WEIGHT - 1 :]
-    return [(m, s) for m, s in every if len(m) <= n and (n < SHORT or m not in LIGHT)]
+    return [(m, s) for m, s in every if len(m) <= n]
 
 
 def _places(seed: np.ndarray, bits: int) -> list[np.ndarray]:
