@@ -10,16 +10,22 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..schema import CATEGORICAL_FEATURES, NUMERIC_FEATURES, TARGET, VOCABULARY
+from ..schema import CATEGORICAL_FEATURES, FEATURES, NUMERIC_FEATURES, TARGET, VOCABULARY
+from ..session import stored
 from .features import assemble, filled_codes
 
 _MAX_VOCABULARY = max(len(v) for v in VOCABULARY.values()) + 1
+_TASK_ROWS = 250_000  # rows of a task of the booster, some 460 bytes each in its caches
 
 
 def fit_gbt(
     train: DataFrame, rounds: int = 20, max_depth: int = 5, learning_rate: float = 0.1, seed: int = 0
 ) -> PipelineModel:
-    """Spark ML's gradient-boosted trees on the same features (no L1/L2, no missing side)."""
+    """Spark ML's gradient-boosted trees on the same features (no L1/L2, no missing side).
+
+    It caches its rows, their errors and predictions in the partitions it is given and reads them again for every
+    level: so the features are stored once and handed to it ``_TASK_ROWS`` rows a partition.
+    """
     gbt = GBTRegressor(
         featuresCol="features",
         labelCol="label",
@@ -29,7 +35,8 @@ def fit_gbt(
         maxBins=max(_MAX_VOCABULARY, 256),
         seed=seed,
     )
-    return Pipeline(stages=[gbt]).fit(assemble(train))
+    with stored(train.select(*FEATURES, TARGET), "gbt", _TASK_ROWS) as rows:
+        return Pipeline(stages=[gbt]).fit(assemble(rows))
 
 
 def linear_pipeline(estimator) -> Pipeline:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -83,6 +85,26 @@ def drop_path(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
+@contextmanager
+def stored(df: DataFrame, label: str, rows_per_task: int = 0) -> Iterator[DataFrame]:
+    """The rows as a scratch table, for loops that read them often; it goes when the block ends.
+
+    With ``rows_per_task`` the table is read by tasks of so many rows at most, in a session of its own: a
+    file has no more rows, and a file that costs a whole partition to open shares it with no other.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, label)
+    try:
+        df.write.option("maxRecordsPerFile", rows_per_task).parquet(path)
+        if rows_per_task:
+            spark = loop_session(spark)
+            for name in ("maxPartitionBytes", "openCostInBytes"):
+                spark.conf.set(f"spark.sql.files.{name}", "128m")
+        yield spark.read.parquet(path)
+    finally:
+        drop_path(df.sparkSession, path)
+
+
 def _path(spark: SparkSession, path: str):
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
