@@ -1,5 +1,7 @@
 """The training loop against a plain numpy grower, and the properties of its models."""
 
+import os
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -426,3 +428,30 @@ def test_two_stages(spark, months):
     assert len(got) == 300 and ((chance > 0) & (chance < 1)).all()
     amount = model.amount.score(rows, keep=["trip_distance"]).toPandas()["prediction"]
     assert np.allclose(np.sort(got["prediction"]), np.sort(chance * amount), atol=1e-12)
+
+
+def test_packed_codes_are_the_codes(spark):
+    """Codes in bytes, as the training loop reads them, are those of ``transform``."""
+    nan, inf = float("nan"), float("inf")
+    binner = Binner(("a", "b"), ((0.0, 1.5, 7.0), ()), ("c",), (5,))
+    rows = [(None, 1.0, 0), (nan, None, None), (-inf, 2.0, 4), (inf, nan, 1), (0.0, 0.0, 2), (1.5, -1.0, 3), (1.4999, 5.0, None), (7.0, inf, 0)]
+    for df in (spark.createDataFrame(rows, "a double, b double, c int"), spark.range(5).selectExpr("2e0 as a", "float(1) as b", "3 as c")):
+        want = [tuple(r["codes"]) for r in binner.transform(df).collect()]
+        got = [tuple(np.frombuffer(r["packed"], "<i2")) for r in binner.pack(df).collect()]
+        assert sorted(got) == sorted(want) and len(got) == df.count()
+
+
+def test_fits_read_stored_features(spark, sf_dir):
+    """Train and valid are made once for all passes of a fit; the folder goes afterwards."""
+    from meterline.plans.queries import features_of, stored_features
+    from meterline.session import scratch_root
+
+    want, root = features_of(spark, sf_dir), scratch_root(spark).removeprefix("file:")
+    with stored_features(spark, sf_dir) as f:
+        for name in ("train", "valid"):
+            assert all(root in path for path in f[name].inputFiles()) and f[name].columns == want[name].columns
+        for name, df in f.items():
+            assert df.count() == want[name].count() and df.exceptAll(want[name]).isEmpty()
+        path = f["train"].inputFiles()[0].removeprefix("file://")
+        assert os.path.exists(path)
+    assert not os.path.exists(path)
