@@ -233,7 +233,7 @@ def _pass(history: list[np.ndarray], first: bool, last: bool):
         if len(cells) and not last:
             n = len(cells)
             columns = [pa.nulls(n, f.type) for f in list(schema)[:-3]]
-            flat = sums.reshape(-1, width)[cells]
+            flat = sums.reshape(PARTS * n_entries, width)[cells]  # width may be 0
             columns += [pa.array(cells, pa.int32()), pa.array(list(flat), pa.list_(pa.int64())), pa.array(count.ravel()[cells])]
             yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
@@ -270,7 +270,7 @@ def _means(book: np.ndarray, state: DataFrame) -> np.ndarray:
     cells = state.filter("cell is not null").select("cell", "n", F.posexplode("sums").alias("pos", "s"))
     added = cells.groupBy("cell", "pos").agg(F.sum("s").alias("s"), F.sum("n").alias("n"))
     got = added.toArrow()  # at most a row per number of the codebooks
-    out = book.copy().reshape(-1, book.shape[2])
+    out = book.copy().reshape(book.shape[0] * book.shape[1], book.shape[2])
     s, n = got["s"].to_numpy(), got["n"].to_numpy()
     out[got["cell"].to_numpy(), got["pos"].to_numpy()] = s // n
     return out.reshape(book.shape)
