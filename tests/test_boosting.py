@@ -430,6 +430,43 @@ def test_two_stages(spark, months):
     assert np.allclose(np.sort(got["prediction"]), np.sort(chance * amount), atol=1e-12)
 
 
+def test_two_stages_are_the_fits_alone(spark, months):
+    """Training side by side changes no tree of either stage."""
+    from meterline.operators.fit import TIPPED, fit_two_stage, with_tipped
+
+    parts = months["train"], months["valid"]
+    model = fit_two_stage(*parts, {"max_depth": 2}, max_rounds=2, max_bins=16)
+    chance = fit(*map(with_tipped, parts), {"max_depth": 2}, 2, max_bins=16, objective=LOGISTIC, label=TIPPED)
+    amount = fit(*[df.filter("tip_pct > 0") for df in parts], {"max_depth": 2}, 2, max_bins=16)
+    for got, want in ((model.chance, chance), (model.amount, amount)):
+        assert got.binner == want.binner and got.ensemble.objective == want.ensemble.objective
+        same_trees(got.ensemble, want.ensemble)
+
+
+def test_two_stage_query_asks_for_the_whole_fit(spark, tmp_path, monkeypatch):
+    """Both stages of the query go on until they stall, with all bins; only the test ends them after two rounds."""
+    from meterline.operators import fit as fit_module
+    from meterline.plans.queries import two_stage
+
+    asked = []
+
+    def two_rounds(binned, binner, configs, max_rounds, early_stop, *args, **options):
+        asked.append((max_rounds, early_stop, configs, max(map(len, binner.edges)) > 200, options["objective"]))
+        return B.boost(binned, binner, configs, 2, early_stop, *args, **options)
+
+    monkeypatch.setattr(fit_module, "boost", two_rounds)
+    lines = spark.range(6000).selectExpr(
+        "id as l_orderkey", "id % 200 as l_partkey", "id % 10 as l_suppkey", "int(id % 7) as l_linenumber",
+        "double(1 + id % 50) as l_quantity", "if(id % 3 = 0, 'R', 'N') as l_returnflag", "id % 9 / 100e0 as l_tax",
+        "id % 11 / 100e0 as l_discount", "cast(date_add(date'1995-01-01', int(id * 2556 div 6000)) as timestamp_ntz) as l_shipdate",
+    )
+    lines.write.parquet(str(tmp_path / "lineitem.parquet"))
+    row = two_stage(spark, str(tmp_path)).first()
+    assert row["n_test"] > 0
+    whole = [(B.MAX_ROUNDS, B.EARLY_STOP, {0: B.BoostConfig()}, True, o) for o in ("logistic", "squared")]
+    assert (B.MAX_ROUNDS, B.EARLY_STOP) == (2000, 100) and sorted(asked, key=lambda a: a[-1]) == whole
+
+
 def test_packed_codes_are_the_codes(spark):
     """Codes in bytes, as the training loop reads them, are those of ``transform``."""
     nan, inf = float("nan"), float("inf")
